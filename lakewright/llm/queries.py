@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, pii, shard, simhash, topk
+from . import bpe, decontam, pii, shard, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(_read(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op9_sharding": op9_sharding,
     "op10_pii": op10_pii,
