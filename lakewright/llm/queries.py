@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, pii, shard, simhash, topk, toxicity
+from . import bpe, decontam, pii, quality, shard, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(_read(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_pii": op10_pii,
 }
