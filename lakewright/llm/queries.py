@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, pii, quality, shard, simhash, topk, toxicity
+from . import bpe, decontam, extract, pii, quality, shard, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(_read(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_read(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
+    "op4_html": op4_html,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op8_quality": op8_quality,
