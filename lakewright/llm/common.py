@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,6 +56,15 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to a new folder in the shared checkpoint folder, and read again."""
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One output batch for each Arrow batch of df; memory is bounded by a batch."""
 

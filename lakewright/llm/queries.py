@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, extract, pii, quality, shard, simhash, topk, toxicity
+from . import bpe, decontam, extract, license, pii, quality, shard, simhash, topk, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.report(_read(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op4_html": op4_html,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_license": op7_license,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_pii": op10_pii,
