@@ -11,6 +11,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import hex256, map_batches
 
@@ -95,7 +96,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", in
         return pa.RecordBatch.from_pydict(columns | {into: pa.array(ids, pa.list_(pa.int32()))})
 
     fields = [f for f in source.schema.fields if f.name != into]
-    schema = type(source.schema)(fields).add(into, "array<int>")
+    schema = T.StructType(fields).add(into, T.ArrayType(T.IntegerType()))
     return source.mapInArrow(_batched(run), schema)
 
 
@@ -110,7 +111,7 @@ def decode(frame: DataFrame, rank_path: str, pattern: str, ids: str = "ids", int
         return pa.RecordBatch.from_pydict(columns | {into: pa.array(out, pa.binary())})
 
     fields = [f for f in frame.schema.fields if f.name != into]
-    schema = type(frame.schema)(fields).add(into, "binary")
+    schema = T.StructType(fields).add(into, T.BinaryType())
     return frame.mapInArrow(_batched(run), schema)
 
 
