@@ -16,6 +16,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TOKEN = re.compile(r"'[^']*'?|\"[^\"]*\"?|[()]|[^\s()'\"]+")
 _LITERAL = re.compile(r"'[^']*'|\"[^\"]*\"|[+-]?\d+(\.\d+)?")
@@ -266,12 +267,12 @@ def branch_conditions(lines: list[str]) -> dict[str, str]:
     return {t: show(tree, top=True) for t, tree in Branches(lines).found.items()}
 
 
-@F.pandas_udf("array<struct<target:string,condition:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("target", T.StringType()), T.StructField("condition", T.StringType())])))
 def branch_conditions_udf(lines: pd.Series) -> pd.Series:
     """Arrow: one paragraph's lines, in order, are one row; nothing outside it matters."""
     return lines.map(lambda x: [{"target": t, "condition": c} for t, c in branch_conditions(list(x)).items()])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def simplified_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else simplified(t))

@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def joined_id(*parts: Column, sep: str = "||", length: int = 16) -> Column:
@@ -29,13 +30,13 @@ def comment_id(program: Column, line: Column, kind: Column, text: Column) -> Col
     return F.concat(F.lit("program.comment."), program, F.lit("."), line.cast("string"), F.lit("."), digest)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def short_blake(text: pd.Series) -> pd.Series:
     """16 hex digits of BLAKE2b."""
     return text.map(lambda t: None if t is None else hashlib.blake2b(t.encode(), digest_size=8).hexdigest())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(text: pd.Series) -> pd.Series:
     """JSON with sorted keys, ', ' and ': ' between parts, and characters as they are; invalid JSON gives null."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixed
 
@@ -215,7 +216,7 @@ def _pair(x: Column) -> Column:
     return F.struct(F.upper(strip(F.substring_index(x, "=", 1))).alias("key"), bare.alias("value"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_three(content: pd.Series) -> pd.Series:
     """UTF-8, else Windows-1252, else Latin-1 (Arrow: the JVM's decode() knows no Windows-1252)."""
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ids import content_hash, joined_id
 from ..functions.text import path_name, path_stem
@@ -53,7 +54,7 @@ def flattened(value, path: str = "", depth: int = 0) -> Iterator[str]:
         yield put(path, json.dumps(value, ensure_ascii=False, sort_keys=True))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def flattened_udf(doc: pd.Series, path: pd.Series) -> pd.Series:
     """Arrow: recursion over JSON of unknown shape. Null and invalid JSON give null."""
 

@@ -210,9 +210,10 @@ def contains_join(texts: DataFrame, passages: DataFrame, text: str, passage: str
     key = F.array_join(F.slice(inner, 1, words), " ")
     named = passages.withColumn("__seed", F.when(F.size(inner) >= words, F.xxhash64(key)))
     long = named.where("__seed IS NOT NULL")
-    tokens = split(F.col(text))
-    starts = F.when(F.size(tokens) >= words, F.sequence(F.lit(1), F.size(tokens) - words + 1)).otherwise(F.array().cast("array<int>"))
-    seeds = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, words), " "))))
+    runs = tokens = split(F.col(text))
+    for k in range(1, words):  # zipped with its own shifts: the text is split a few times, not once a word
+        runs = F.zip_with(runs, F.slice(tokens, k + 1, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
+    seeds = F.array_distinct(F.transform(F.filter(runs, lambda r: r.isNotNull()), lambda r: F.xxhash64(r)))
     # Only seeds that some passage has are kept before anything meets: the passages' side is the small one.
     exploded = texts.withColumn("__seed", F.explode(seeds))
     wanted = small(long.select("__seed").distinct())
