@@ -23,9 +23,10 @@ MODULUS, HELD = 3, 1
 MAX_TRAINING_ROWS = 3_000
 THRESHOLD = 0.5
 SLOPE = 12.0
-#: Lines of training documents that the driver fits on, at most: a document's lines beyond this many are
-#: left out of the fit (scoring reads every line).
+#: Lines of a training document that the driver fits on, at most: of a longer one, runs of lines spread evenly over
+#: it (scoring reads every line).
 MAX_FIT_LINES = 400
+FIT_RUNS = 8
 #: Bytes of text whose features are counted at once.
 STRIP_BYTES = 8 << 20
 
@@ -229,6 +230,15 @@ def _ascend(model: Crf, x, counts, own, weight, steps, rate, decay) -> None:
             value += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
 
 
+def fitted_lines(n: int) -> np.ndarray:
+    """Places of the lines that a document of n lines is fitted on."""
+    if n <= MAX_FIT_LINES:
+        return np.arange(n)
+    width = MAX_FIT_LINES // FIT_RUNS
+    starts = np.linspace(0, n - width, FIT_RUNS).astype(int)
+    return np.unique((starts[:, None] + np.arange(width)[None, :]).ravel())
+
+
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) -> Crf:
     """Fits on the bounded sample; line features, not texts, reach the driver."""
 
@@ -236,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) ->
         packed: list[bytes] = []
         for text in as_bytes(batch.column("text")):
             features, _, size = line_features([text or b""])
-            rows = np.concatenate([features, size[:, None]], 1)[:MAX_FIT_LINES]
+            rows = np.concatenate([features, size[:, None]], 1)[fitted_lines(len(features))]
             packed.append(rows.astype(np.float32).tobytes())
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "lines": pa.array(packed, pa.binary())})
 

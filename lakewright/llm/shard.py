@@ -18,8 +18,10 @@ from .common import checkpointed
 ROUNDS = 10
 #: Starting cells; a cell's remainder by the shard count is its first shard.
 CELLS = 64
-#: Pieces of a shard that are numbered separately, so that no task numbers a whole shard.
+#: Pieces of a shard that are numbered separately, so that no task numbers a whole shard; more for large inputs.
 PIECES = 32
+#: Rows of a piece, about: what one task numbers.
+PIECE_ROWS = 250_000
 TEXT = ["g", "text_crc32", "size"]
 
 
@@ -89,7 +91,8 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS, key: str = "d
     is placed like any other. No documents: no rows. The result depends on the rows alone, not on their order.
     """
     rows = checkpointed(fingerprinted(docs, key, text))
-    places = quotas(rows.count(), shards)
+    total = rows.count()
+    places, pieces = quotas(total, shards), max(PIECES, -(-total // (shards * PIECE_ROWS)))
     fragments = rows.groupBy(*TEXT, "cell").agg(F.count(F.lit(1)).alias("n"))
     copies = fragments.groupBy(*TEXT).agg(F.sum("n").alias("copies")).where("copies > 1").select(*TEXT)
     linked = fragments.join(copies, TEXT).withColumn("shard", F.pmod(F.col("cell"), F.lit(shards)))
@@ -100,11 +103,11 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS, key: str = "d
         "text_crc32",
         F.coalesce("found", F.pmod(F.col("cell"), F.lit(shards))).alias("shard"),
         F.col("found").isNull().alias("alone"),
-        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PIECES)).cast("int").alias("piece"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(pieces)).cast("int").alias("piece"),
     )
     placed = checkpointed(placed)
     parts = ["shard", "alone", "piece"]
-    counts = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("count"))  # at most shards * 2 * PIECES rows
+    counts = placed.groupBy(*parts).agg(F.count(F.lit(1)).alias("count"))  # at most shards * 2 * pieces rows
     before = Window.partitionBy("shard").orderBy("alone", "piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(counts.select(*parts, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")))
     load = dict(counts.groupBy("shard").agg(F.sum("count")).collect())

@@ -6,6 +6,11 @@ equal bit groups (of BLOCKS groups, 3 differing bits leave at least BLOCKS - 3 u
 a bucket the fingerprints are sorted by their distance to the first pivot, only a band of difference 3
 is looked at, and pairs whose coordinates differ by more than 3 at any pivot are discarded before the
 survivors' Hamming distance is verified.
+
+A bucket of more than MAX_BUCKET fingerprints, as a large group of near copies can fill, goes to no task as a whole.
+Its fingerprints meet at points instead: of two at most 3 bits apart, one is within 1 and the other within 2 bits of
+some point, so each is sent to all points within 2 of it. At most 2,081 fingerprints can be that near to a point,
+whatever the bucket's size, and they link through one that is within 1 of it.
 """
 
 from __future__ import annotations
@@ -29,6 +34,8 @@ N_PIVOTS = 16
 PIVOTS = np.random.default_rng(0x51A5).integers(0, 1 << 64, N_PIVOTS, np.uint64)
 #: Rows of a bucket that are compared at once.
 STRIP = 1024
+#: Fingerprints of a bucket that one task compares, at most; larger buckets meet at points.
+MAX_BUCKET = 16_384
 
 
 def shingle_hashes(text: bytes | None, n: int = SHINGLE, seed: int = 42) -> np.ndarray:
@@ -113,7 +120,26 @@ def forest(fps: np.ndarray) -> np.ndarray:
     return np.concatenate(edges) if edges else np.zeros((0, 2), np.uint64)
 
 
-def links(fps: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def _meeting_points(dense: DataFrame, masks: list[int]) -> DataFrame:
+    """a, b: the same for dense(fp, mask), fingerprints whose bits under the mask many others share.
+
+    Two of one bucket differ outside the mask only, so only those bits are flipped: 781 points at most. A point's
+    rows are bounded, so the list of one is too.
+    """
+    rows = []
+    for i, mask in enumerate(masks):
+        free = [b for b in range(64) if not mask >> b & 1]
+        rows.append((i, 0, 0))
+        rows += [(i, _signed(1 << a), 1) for a in free]
+        rows += [(i, _signed(1 << a | 1 << b), 2) for a, b in combinations(free, 2)]
+    flips = dense.sparkSession.createDataFrame(rows, "mask int, flip long, d int")  # under 10,000 rows for any input
+    points = dense.join(F.broadcast(flips), "mask").select(F.col("fp").bitwiseXOR(F.col("flip")).alias("point"), "fp", "d").distinct()
+    near = points.groupBy("point").agg(F.min("d").alias("d"), F.min_by("fp", F.struct("d", "fp")).alias("hub"), F.collect_set("fp").alias("fps"))
+    met = near.where("d <= 1 AND size(fps) > 1").select(F.col("hub").alias("a"), F.explode("fps").alias("b"))
+    return met.where("a <> b").distinct()
+
+
+def links(fps: DataFrame, blocks: int = BLOCKS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """a, b: edges that connect all fingerprints of fps(fp, distinct) that links of 3 or fewer bits connect.
 
     Fingerprints meet under every choice of equal bit groups (for 5 blocks, ten keys of 25 or 26 bits).
@@ -124,16 +150,21 @@ def links(fps: DataFrame, blocks: int = BLOCKS) -> DataFrame:
         "fp",
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("mask", "bits"),
     )
-    # Only buckets of two or more go to Python.
-    size = keyed.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mask", "bits")
-    shared = keyed.join(size, ["mask", "bits"], "left_semi")
+    # Only buckets of two or more go to Python, and none beyond the bound.
+    size = checkpointed(keyed.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = keyed.join(size.where(F.col("n") <= max_bucket).select("mask", "bits"), ["mask", "bits"], "left_semi")
 
     def run(key: tuple, bucket: pa.Table) -> pa.Table:
         edges = forest(bucket.column("fp").to_numpy().view(np.uint64))
         out = np.ascontiguousarray(edges.T).view(np.int64)
         return pa.Table.from_pydict({"a": out[0], "b": out[1]})
 
-    return shared.groupBy("mask", "bits").applyInArrow(run, "a long, b long")
+    edges = shared.groupBy("mask", "bits").applyInArrow(run, "a long, b long")
+    large = size.where(F.col("n") > max_bucket).select("mask", "bits")
+    if large.isEmpty():
+        return edges
+    dense = keyed.join(large, ["mask", "bits"], "left_semi").select("fp", "mask")
+    return edges.union(_meeting_points(dense, masks))
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int = BLOCKS) -> DataFrame:
@@ -145,7 +176,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int
     (then component_id is null). Copies meet once, as one fingerprint, before any bucket.
     """
     marked = checkpointed(fingerprints(docs, key, text))
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(classes.select("fp"), blocks))
     joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -117,7 +117,8 @@ def test_simhash_groups_are_brute_force(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
-def test_simhash_links_in_chains_and_dense_groups(spark):
+@pytest.mark.parametrize("max_bucket", [16_384, 8])
+def test_simhash_links_in_chains_and_dense_groups(spark, max_bucket):
     random.seed(4)
     fps = {0}
     for _ in range(40):  # chains of three flipped bits
@@ -131,7 +132,7 @@ def test_simhash_links_in_chains_and_dense_groups(spark):
     fps = sorted(fps)
     want = slow_groups(fps, fps)
     signed = {simhash._signed(f): f for f in fps}
-    edges = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"))
+    edges = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"), max_bucket=max_bucket)
     got = {signed[r.node]: signed[r.root] for r in components.components(edges).collect()}
     alike = {}
     for f in fps:
