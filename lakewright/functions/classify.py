@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -155,12 +155,19 @@ def code_score(bare: Column) -> Column:
     )
 
 
-def comment_class(text: Column) -> Column:
-    """commented_out_code, section_header, name_or_reference, descriptive_header or explanatory_comment."""
-    i = "(?i)"
-    s, raw = bare_comment(text), collapse(text)
-    structural = s.rlike(i + fixed.DIVISION) | s.rlike(i + fixed.SECTION)
-    u, words = F.upper(s), _words(s)
+def with_comment_class(df: DataFrame, text: str, into: str = "classification") -> DataFrame:
+    """df with a comment's class: commented_out_code, section_header, name_or_reference, descriptive_header or explanatory_comment.
+
+    What several rules look at is computed once, in columns of its own: branches of a CASE share nothing.
+    """
+    df = df.withColumn("__raw", collapse(F.col(text)))
+    df = df.withColumn("__bare", bare_comment(F.col("__raw")))
+    df = df.withColumn("__words", _words(F.col("__bare"))).withColumn("__structural", F.col("__bare").rlike("(?i)" + fixed.DIVISION) | F.col("__bare").rlike("(?i)" + fixed.SECTION))
+    return df.withColumn(into, _comment_class(F.col("__bare"), F.col("__raw"), F.col("__words"), F.col("__structural"))).drop("__raw", "__bare", "__words", "__structural")
+
+
+def _comment_class(s: Column, raw: Column, words: Column, structural: Column) -> Column:
+    u = F.upper(s)
     few = F.size(words).between(1, 2)
     header = u.isin(*fixed.HEADER_TERMS) | structural | u.rlike(r"^[A-Z](\s+[A-Z]){2,}$") | (few & F.array_join(words, " ").isin(*fixed.HEADER_TERMS))
     name = F.forall(words, lambda w: w.rlike("^[A-Z][A-Z0-9-]{1,30}$"))

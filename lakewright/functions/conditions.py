@@ -181,7 +181,10 @@ SCAN = 25
 
 
 class Branches:
-    """The stack of open IFs over a paragraph's lines, and for each GO TO the condition under which it is reached."""
+    """The stack of open IFs over a paragraph's lines, and for each GO TO the condition under which it is reached.
+
+    A full stop closes the innermost IF, but not the one of a GO TO: an IF whose statements end in one stays open.
+    """
 
     def __init__(self, lines: list[str]):
         self.lines = [s for s in (x.rstrip() for x in lines) if s.strip() and not s.strip().startswith("*")]

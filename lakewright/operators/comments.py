@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.classify import bare_comment, comment_class, comment_reason, is_indexable
+from ..functions.classify import bare_comment, comment_reason, is_indexable, with_comment_class
 from ..functions.ids import comment_id
 from ..sources import cobol
 from .documents import document
@@ -15,7 +15,7 @@ from .relational import ratio
 
 def classified(comments: DataFrame) -> DataFrame:
     """comments with normalized_text, classification, classification_reason and indexable."""
-    rows = comments.withColumn("normalized_text", bare_comment(F.col("text"))).withColumn("classification", comment_class(F.col("text")))
+    rows = with_comment_class(comments, "text").withColumn("normalized_text", bare_comment(F.col("text")))
     rows = rows.withColumn("classification_reason", comment_reason(F.col("classification"), F.col("kind"), F.col("in_procedure")))
     return rows.withColumn("indexable", is_indexable(F.col("classification")))
 

@@ -93,10 +93,19 @@ def fixed_spans(n: Column, size: int, overlap: int) -> Column:
 
 
 def fixed_chunks(docs: DataFrame, key: str, text: str, size: int, overlap: int) -> DataFrame:
-    """key, chunk_index, chunk_count, chunk: characters cut at fixed places. Null and empty texts have none. Native, map-only."""
-    spans = fixed_spans(F.length(text), size, overlap)
-    rows = docs.select(key, text, F.size(spans).cast("int").alias("chunk_count"), F.posexplode(spans).alias("chunk_index", "span"))
-    return rows.select(key, "chunk_index", "chunk_count", F.substr(text, F.col("span.start") + 1, F.col("span.end") - F.col("span.start")).alias("chunk"))
+    """key, chunk_index, chunk_count, chunk: characters cut at fixed places. Null and empty texts have none. Native, map-only.
+
+    A text is cut into steps in one pass and each step completed from the next: time grows with the text's length,
+    and no chunk carries the whole text. (Where the overlap is longer than a step, chunks are cut one by one.)
+    """
+    step = size - overlap
+    n = F.size(fixed_spans(F.length(text), size, overlap)).cast("int")
+    if overlap > step:
+        rows = docs.select(key, text, n.alias("chunk_count"), F.posexplode(fixed_spans(F.length(text), size, overlap)).alias("chunk_index", "span"))
+        return rows.select(key, "chunk_index", "chunk_count", F.substr(text, F.col("span.start") + 1, F.col("span.end") - F.col("span.start")).alias("chunk"))
+    rows = docs.select(key, n.alias("chunk_count"), F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{step}}})"), 1).alias("steps"))
+    whole = F.zip_with("steps", F.slice("steps", 2, 1 << 30), lambda a, b: F.concat(a, F.coalesce(F.substring(b, 1, overlap), F.lit(""))))
+    return rows.select(key, "chunk_count", F.posexplode(F.slice(whole, F.lit(1), F.col("chunk_count"))).alias("chunk_index", "chunk")).select(key, "chunk_index", "chunk_count", "chunk")
 
 
 def soft_spans(text: str, size: int, overlap: int) -> list[str]:

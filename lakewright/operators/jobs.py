@@ -146,11 +146,11 @@ def warnings(comments: DataFrame, steps: DataFrame) -> DataFrame:
     return every.groupBy("file").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("rank", "at", "text"))), lambda x: x["text"])).alias("warnings"))
 
 
-def analyse(lines: DataFrame) -> dict[str, DataFrame]:
-    """All relations of job scripts from their lines(file, line_no, raw)."""
-    stmts, comments = jcl.job_statements(lines), jcl.job_comments(lines)
-    steps = jcl.steps(stmts)
-    dds = annotated(jcl.definitions(stmts), steps)
+def analyse(lines: DataFrame, keep=lambda df: df) -> dict[str, DataFrame]:
+    """All relations of job scripts from their lines(file, line_no, raw); ``keep`` is applied to what several are built from."""
+    stmts, comments = keep(jcl.job_statements(lines)), jcl.job_comments(lines)
+    steps = keep(jcl.steps(stmts))
+    dds = keep(annotated(jcl.definitions(stmts), steps))
     executed = execution_steps(steps)
     usage = dataset_usage(executed, dds)
     return {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import classify, fixed, text
@@ -207,8 +209,9 @@ def control_flow_nodes(spark, sf_dir):
     return graph.extract(frame(spark, "fx_cobol"))[0]
 
 
+@functools.lru_cache(maxsize=2)
 def _program(spark):
-    return program.program_relations(frame(spark, "fx_cobol"))
+    return program.program_relations(frame(spark, "fx_cobol"), keep=lambda df: df.cache())
 
 
 @query()
@@ -432,8 +435,9 @@ def code_chunks(spark, sf_dir):
 # --- jobs --------------------------------------------------------------------------------------------
 
 
+@functools.lru_cache(maxsize=2)
 def _jobs(spark):
-    return jobs.analyse(frame(spark, "fx_jcl"))
+    return jobs.analyse(frame(spark, "fx_jcl"), keep=lambda df: df.cache())
 
 
 @query()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,17 +12,22 @@ from ..sources import cobol, facts
 from ..sources.text import program_names
 
 
-def program_relations(lines: DataFrame, copybook_lines: DataFrame | None = None, edges: DataFrame | None = None, overrides: DataFrame | None = None) -> dict[str, DataFrame]:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def program_relations(lines: DataFrame, copybook_lines: DataFrame | None = None, edges: DataFrame | None = None, overrides: DataFrame | None = None, keep: Keep = lambda df: df) -> dict[str, DataFrame]:
     """Graph, rules, data flow, comments and calls of all programs at once.
 
     edges(program, edge_no, src, dst) of a given control-flow graph; without them they are extracted from the text.
+    ``keep`` is applied to what several relations are built from: operators.checkpoint.checkpointed on a cluster.
     """
     programs = program_names(lines)
     nodes, own = graph.extract(lines)
     edges = own if edges is None else edges
     order = cobol.raw_paragraph_order(lines, programs).join(programs, "file").select("program", "paragraph", "ord")
-    rich = graph.enriched(edges, cobol.raw_paragraph_lines(lines, programs), order, overrides)
+    rich = keep(graph.enriched(edges, cobol.raw_paragraph_lines(lines, programs), order, overrides))
     flow = dataflow.program_dataflow(lines, programs, copybook_lines, rich)
+    flow |= {"variables": keep(flow["variables"]), "sites": keep(flow["sites"])}
     rule = rules.rules(rich)
     told = comments.classified(cobol.comments(lines)).join(programs, "file")
     called = dataflow.outgoing_calls(cobol.terminated_statements(lines)).join(programs, "file")
@@ -51,5 +58,5 @@ def index_records(docs: DataFrame, source_file: str = "artifacts/documents.json"
     return index.records(rows)
 
 
-def job_relations(lines: DataFrame) -> dict[str, DataFrame]:
-    return jobs.analyse(lines)
+def job_relations(lines: DataFrame, keep: Keep = lambda df: df) -> dict[str, DataFrame]:
+    return jobs.analyse(lines, keep)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
-from ..functions.classify import comment_class, is_noise, readiness
+from ..functions.classify import is_noise, readiness, with_comment_class
 from ..operators import graph, index, maps, quality, relational
 from ..operators.relational import sorted_set
-from ..session import table
+from ..session import spread, table
 from ..sources import documents, text as text_source
 
 QUERIES: dict = {}
@@ -37,7 +37,7 @@ lines AS (SELECT file{extra}, CAST(unnest(generate_series(1, len(p))) AS INTEGER
 
 
 def _lines(spark, sf_dir, *extra):
-    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text").where("text IS NOT NULL"))
     return text_source.lines(docs, "doc_id")
 
 
@@ -51,7 +51,7 @@ FROM c
 """)
 def chunk_index_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed overlapping chunks with stable ids; native and map-only."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", F.struct("doc_id", "lang").alias("k"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", "text", F.struct("doc_id", "lang").alias("k"))
     rows = index.fixed_chunks(docs, "k", "text", 1000, 100)
     return rows.select("k.doc_id", "chunk_index", "chunk_count", "k.lang", ids.joined_id(F.col("k.doc_id"), F.col("chunk_index")).alias("id"), ids.content_hash(F.col("chunk")).alias("content_hash"))
 
@@ -59,7 +59,7 @@ def chunk_index_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def chunk_index_soft(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks that end at lines and sentences; tested against a plain loop."""
-    rows = index.soft_chunks(table(spark, sf_dir, "documents"), "doc_id", "text", 1200, 120)
+    rows = index.soft_chunks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", 1200, 120)
     return rows.select("doc_id", "chunk_index", "chunk_count", ids.content_hash(F.col("chunk")).alias("content_hash"))
 
 
@@ -340,7 +340,7 @@ def prefix_theta_join(spark, sf_dir):
 @query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE b.text <> ''")
 def contains_theta_join(spark, sf_dir):
     """Documents that hold a benchmark passage as it is: found by one run of whole words inside the passage."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body")).where("body IS NOT NULL")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body")).where("body IS NOT NULL"))
     bench = table(spark, sf_dir, "benchmark").select("item_id", "text").where("text <> ''")
     return relational.contains_join(docs, bench, "body", "text").select("doc_id", "item_id")
 
@@ -423,7 +423,7 @@ def _classes_sql() -> str:
 WITH {_lines_sql()},
 c AS (SELECT file, line_no, trim(regexp_replace(raw, '{_WS}', ' ', 'g'), {white}) AS raw FROM lines WHERE regexp_matches(raw, '[A-Za-z0-9]')),
 b AS (SELECT *, trim(regexp_replace(regexp_replace(raw, '^[*/\\s]+', ''), '[\\s*]+$', ''), {white}) AS s FROM c),
-w AS (SELECT *, regexp_extract_all(upper(s), '[A-Z0-9-]+') AS ws, regexp_matches(s, '(?i){fixed.DIVISION}') OR regexp_matches(s, '(?i){fixed.SECTION}') AS structural,
+w AS (SELECT *, regexp_extract_all(upper(replace(s, 'ß', 'SS')), '[A-Z0-9-]+') AS ws, regexp_matches(s, '(?i){fixed.DIVISION}') OR regexp_matches(s, '(?i){fixed.SECTION}') AS structural,
   CASE WHEN regexp_matches(raw, '^-{{2,}}\\s*\\S') THEN regexp_replace(s, '^-+\\s*', '') ELSE s END AS t, {score} AS score FROM b),
 n AS (SELECT *, len(regexp_extract_all(t, '[A-Za-z0-9''-]+')) AS nw, len(list_filter(ws, lambda x: NOT regexp_matches(x, '^[A-Z][A-Z0-9-]{{1,30}}$'))) = 0 AS named FROM w),
 k AS (SELECT file, CASE
@@ -438,7 +438,7 @@ SELECT file AS doc_id, classification, count(*) AS n FROM k GROUP BY ALL"""
 @query(_classes_sql())
 def comment_classifier(spark, sf_dir):
     """Every line of every document as a comment: a CASE chain in the scan's stage, then partial counts."""
-    rows = _lines(spark, sf_dir).where(~is_noise(F.col("raw"))).select("file", comment_class(F.col("raw")).alias("classification"))
+    rows = with_comment_class(_lines(spark, sf_dir).where(~is_noise(F.col("raw"))), "raw")
     return rows.groupBy(F.col("file").alias("doc_id"), "classification").agg(F.count(F.lit(1)).alias("n"))
 
 

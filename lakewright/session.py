@@ -31,3 +31,12 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of so few splits that cores would idle, dealt evenly; any larger one as it is, without a shuffle.
+
+    For work that is heavy for its bytes: a small file of one row group is one task otherwise.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() <= 2 * cores else df
