@@ -63,7 +63,7 @@ def dataset_catalog(usage: DataFrame) -> DataFrame:
     place = F.struct("execution_order", "dd_ordinal", "step")
     steps_of = lambda a: F.transform(F.array_sort(F.collect_list(F.when(F.col("access_type") == a, place))), lambda x: x["step"])
     return rows.groupBy("file", "job", "dsn").agg(
-        F.min_by("dataset_kind", F.struct("execution_order", "dd_ordinal")).alias("dataset_kind"), F.bool_or(early).alias("external_input"),
+        F.min_by("dataset_kind", F.when(F.col("dataset_kind").isNotNull(), F.struct("execution_order", "dd_ordinal"))).alias("dataset_kind"), F.bool_or(early).alias("external_input"),
         *[steps_of(a).alias(name) for a, name in by.items()], F.count(F.lit(1)).alias("n_usages"), F.min("first_write_order").alias("first_write_order"),
     )
 

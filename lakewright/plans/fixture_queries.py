@@ -10,7 +10,7 @@ from ..functions import classify, fixed, text
 from ..functions.conditions import simplified_udf
 from ..functions.ids import comment_id, short_blake
 from ..operators import comments as comment_ops
-from ..operators import dataflow, graph, jobs, maps, quality, relational, rules
+from ..operators import dataflow, graph, jobs, maps, quality, relational, review, rules
 from ..operators import documents as document_ops
 from ..operators import index as index_ops
 from ..sources import cobol, documents, facts, jcl
@@ -569,3 +569,136 @@ def package_manifest(spark, sf_dir):
 def located_sources(spark, sf_dir):
     names = spark.createDataFrame([("BILLRUN",), ("twice",), ("none",)], "name string")
     return quality.located(names, spark.createDataFrame([("a/billrun.cbl",), ("a/TWICE.cbl",), ("b/twice.cbl",)], "file string"))
+
+
+# --- relational cores, with their SQL ----------------------------------------------------------------
+
+
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@query(f"""WITH {sql('fx_dds')}, d AS (SELECT *, upper(replace(coalesce(disp, ''), ' ', '')) AS n, trim(split_part(regexp_replace(upper(trim(coalesce(disp, ''))), '^\\((.*)\\)$', '\\1'), ',', 1)) AS st, coalesce(dsn, '') <> '' AS has FROM fx_dds)
+SELECT id, CASE WHEN coalesce(sysout, '') <> '' THEN 'sysout' WHEN contains(upper(raw), 'DUMMY') AND NOT has THEN 'control' WHEN ddname IN ({_in(fixed.CONTROL_DD)}) THEN 'control' WHEN program = 'IEFBR14' AND contains(n, 'DELETE') THEN 'delete'
+ WHEN ddname IN ({_in(fixed.READ_DD)}) THEN 'read' WHEN ddname IN ({_in(fixed.WRITE_DD)}) THEN 'write' WHEN st IN ('OLD', 'SHR') THEN 'read' WHEN st IN ('NEW', 'MOD') THEN 'write'
+ WHEN starts_with(n, '(,') OR contains(n, '(,CATLG') OR contains(n, '(,PASS') THEN 'write' WHEN has THEN 'unknown' ELSE 'control' END AS access_type,
+ CASE WHEN NOT has THEN NULL WHEN starts_with(upper(dsn), '&&') THEN 'temporary' WHEN starts_with(upper(dsn), 'SYS1.') OR starts_with(upper(dsn), 'SYSOUT') THEN 'system' ELSE 'persistent' END AS dataset_kind FROM d""")
+def dataset_access(spark, sf_dir):
+    """How a data definition uses its dataset: eleven rules, the first that holds."""
+    a = classify.dataset_access(*[F.col(c) for c in ("ddname", "disp", "sysout", "raw", "dsn", "program")])
+    return frame(spark, "fx_dds").select("id", a["access_type"].alias("access_type"), classify.dataset_kind(F.col("dsn")).alias("dataset_kind"))
+
+
+@query(f"""WITH {sql('fx_usage')}, w AS (SELECT *, min(execution_order) FILTER (access_type = 'write') OVER (PARTITION BY file, dsn) AS fw FROM fx_usage)
+SELECT file, job, dsn, (list(dataset_kind ORDER BY execution_order, dd_ordinal) FILTER (dataset_kind IS NOT NULL))[1] AS dataset_kind, bool_or(access_type IN ('read', 'control') AND (fw IS NULL OR execution_order < fw)) AS external_input, coalesce(string_agg(step, ',' ORDER BY execution_order, dd_ordinal) FILTER (access_type = 'write'), '') AS produced_by,
+ coalesce(string_agg(step, ',' ORDER BY execution_order, dd_ordinal) FILTER (access_type = 'read'), '') AS consumed_by, coalesce(string_agg(step, ',' ORDER BY execution_order, dd_ordinal) FILTER (access_type = 'delete'), '') AS deleted_by, count(*) AS n_usages, min(fw) AS first_write_order FROM w GROUP BY file, job, dsn""")
+def dataset_catalog(spark, sf_dir):
+    return _joined(jobs.dataset_catalog(frame(spark, "fx_usage")).drop("controlled_by"), "produced_by", "consumed_by", "deleted_by")
+
+
+@query(f"""WITH {sql('fx_usage')}, w AS (SELECT *, last_value(CASE WHEN access_type = 'write' THEN step END IGNORE NULLS) OVER (PARTITION BY file, dsn ORDER BY execution_order, dd_ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS from_step FROM fx_usage)
+SELECT DISTINCT file, job, from_step, step AS to_step, dsn, CASE access_type WHEN 'read' THEN 'produces_input_for' ELSE 'deleted_after' END AS flow_type FROM w WHERE access_type IN ('read', 'delete') AND from_step IS NOT NULL""")
+def dataset_flow(spark, sf_dir):
+    """As-of join to the last write, as a window."""
+    return jobs.dataset_flow(frame(spark, "fx_usage"))
+
+
+@query(f"""WITH {sql('fx_steps')}, x AS (SELECT o.file, o.seq AS outer_seq, coalesce(i.seq, o.seq) AS seq, coalesce(i.step, o.step) AS step, CASE WHEN i.seq IS NULL THEN NULL ELSE o.step END AS invoked_by_step FROM fx_steps o LEFT JOIN fx_steps i ON o.exec_kind = 'procedure' AND o.resolved_locally AND i.file = o.file AND i.defined_in_proc = o.proc WHERE o.scope = 'job')
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY outer_seq, seq) AS INTEGER) AS execution_order, step, invoked_by_step FROM x""")
+def execution_order(spark, sf_dir):
+    """Steps in the order they run, local procedures expanded."""
+    return jobs.execution_steps(frame(spark, "fx_steps")).select("file", "execution_order", "step", "invoked_by_step")
+
+
+def _sites(spark):
+    return frame(spark, "fx_sites").withColumn("targets", F.filter(F.split("targets", ","), lambda x: x != ""))
+
+
+@query(f"""WITH {sql('fx_vars')}, {sql('fx_sites')} SELECT v.program, v.variable, v.origin, coalesce(arg_min(paragraph, line) FILTER (kind = 'write'), '') AS defined_in, coalesce(string_agg(DISTINCT paragraph, ',' ORDER BY paragraph) FILTER (kind = 'write'), '') AS modified_in,
+ coalesce(string_agg(DISTINCT paragraph, ',' ORDER BY paragraph) FILTER (kind = 'read'), '') AS used_in, coalesce(bool_or(kind = 'control'), FALSE) AS controls_flow, coalesce(max(targets) FILTER (kind = 'control'), '') AS fanout_nodes FROM fx_vars v LEFT JOIN fx_sites s ON v.program = s.program AND v.variable = s.variable GROUP BY ALL""")
+def variable_assembly(spark, sf_dir):
+    """Variables' records from the long table of sites."""
+    rows = dataflow.variable_records(frame(spark, "fx_vars"), _sites(spark)).select("program", "variable", "origin", "defined_in", "modified_in", "used_in", "controls_flow", "fanout_nodes")
+    return _joined(rows, "defined_in", "modified_in", "used_in", "fanout_nodes")
+
+
+@query(f"WITH {sql('fx_vars')}, {sql('fx_sites')} SELECT v.* FROM fx_vars v WHERE EXISTS (SELECT 1 FROM fx_sites s WHERE s.program = v.program AND s.variable = v.variable)")
+def used_semi_join(spark, sf_dir):
+    return dataflow.used(frame(spark, "fx_vars"), _sites(spark))
+
+
+_MOVED = """(?i)\\bMOVE\\s+(''[^'']*''|"[^"]*"|[+-]?[0-9]+(?:\\.[0-9]+)?)\\s+TO\\s+([A-Z0-9-]+)\\b"""
+
+
+@query(f"""WITH {sql('fx_vars')}, {sql('fx_sites')} SELECT DISTINCT s.program, s.variable AS target_variable, regexp_extract(statement, '{_MOVED}', 1) AS literal_raw, trim(regexp_extract(statement, '{_MOVED}', 1), chr(39) || chr(34)) AS literal, paragraph, line,
+ starts_with(v.origin, 'COPY:PDCBVCM') AS screen_or_map_field, starts_with(s.variable, 'PD1FS00-') AS call_commarea_field FROM fx_sites s JOIN fx_vars v ON s.program = v.program AND s.variable = v.variable WHERE kind = 'write' AND upper(regexp_extract(statement, '{_MOVED}', 2)) = s.variable AND regexp_matches(statement, '{_MOVED}')""")
+def moved_literals(spark, sf_dir):
+    sites, vars_ = _sites(spark), frame(spark, "fx_vars")
+    control = vars_.select("program", "variable", F.lit(False).alias("controls_flow"))
+    return dataflow.literal_assignments(sites, vars_, control).select("program", "target_variable", "literal_raw", "literal", "paragraph", "line", "screen_or_map_field", "call_commarea_field")
+
+
+@query(f"WITH {sql('fx_sites')}, r AS (SELECT *, row_number() OVER (PARTITION BY program, variable ORDER BY CASE kind WHEN 'write' THEN 1 WHEN 'read' THEN 2 ELSE 3 END, line) AS n FROM fx_sites WHERE line > 0) SELECT program, variable, line FROM r WHERE n = 1")
+def first_valid_line(spark, sf_dir):
+    return dataflow.first_site_line(_sites(spark))
+
+
+@query(f"""WITH {sql('fx_vars')}, {sql('fx_sites')}, s AS (SELECT split_part(variable, '-', 1) AS structure, v.*, EXISTS (SELECT 1 FROM fx_sites x WHERE x.program = v.program AND x.variable = v.variable AND kind = 'control') AS c FROM fx_vars v)
+SELECT structure, count(DISTINCT program) AS program_count, count(DISTINCT variable) AS variable_count, string_agg(DISTINCT program, ',' ORDER BY program) AS programs, coalesce(string_agg(DISTINCT variable, ',' ORDER BY variable) FILTER (c), '') AS control_variables FROM s WHERE length(structure) > 1 GROUP BY structure""")
+def structure_prefixes(spark, sf_dir):
+    control = _sites(spark).where("kind = 'control'").select("program", "variable")
+    rows = maps.structures(frame(spark, "fx_vars"), control, 1, 1).select("structure", "program_count", "variable_count", "programs", "control_variables")
+    return _joined(rows, "programs", "control_variables")
+
+
+@query(f"""WITH {sql('fx_vars')}, {sql('fx_sites')}, v AS (SELECT v.variable, v.program, bool_or(kind = 'control') AS c FROM fx_vars v LEFT JOIN fx_sites s ON v.program = s.program AND v.variable = s.variable GROUP BY ALL)
+SELECT variable, count(*) AS program_count, coalesce(string_agg(program, ',' ORDER BY program) FILTER (c), '') AS controls_flow_programs FROM v GROUP BY variable HAVING count(*) >= 2""")
+def shared_between_programs(spark, sf_dir):
+    rows = maps.shared_variables(maps.variable_map(frame(spark, "fx_vars"), _sites(spark))).select("variable", "program_count", "controls_flow_programs")
+    return _joined(rows, "controls_flow_programs")
+
+
+@query(f"""WITH {sql('fx_sites')}, c AS (SELECT 'P' AS program, 'c1' AS call_id, 28 AS called, 'A' AS parameter UNION ALL SELECT 'P', 'c1', 28, 'PD1FS00'),
+m AS (SELECT c.program, call_id, parameter, s.variable, CASE kind WHEN 'write' THEN 'writes_before' ELSE 'reads_after' END AS side, line, row_number() OVER (PARTITION BY call_id, parameter, s.variable, kind ORDER BY abs(line - called), statement) AS n FROM c JOIN fx_sites s ON s.program = c.program AND (s.variable = parameter OR starts_with(s.variable, parameter || '-')) WHERE (kind = 'write' AND line <= called) OR (kind = 'read' AND line >= called))
+SELECT program, call_id, parameter, variable, side, CAST(n AS INTEGER) AS place, line FROM m WHERE n <= 5""")
+def writes_and_reads_round_calls(spark, sf_dir):
+    """Prefix join, then the nearest five writes before and reads after."""
+    calls = spark.createDataFrame([("P", "c1", 28, ["A", "PD1FS00"])], "program string, call_id string, line_start int, parameters array<string>")
+    return dataflow.call_parameters(calls, _sites(spark)).select("program", "call_id", "parameter", "variable", "side", "place", "line")
+
+
+@query()
+def review_documents(spark, sf_dir):
+    """Documents of a program's variables, literals and calls."""
+    r = _program(spark)
+    records = dataflow.variable_records(r["variables"], r["sites"])
+    calls = r["calls"].withColumn("call_id", short_blake(F.concat_ws("|", "program", "target", F.col("line_start").cast("string"), "statement")))
+    out = review.variable_documents(records).unionByName(review.used_variables_documents(records))
+    out = out.unionByName(review.literal_documents(dataflow.literal_assignments(r["sites"], r["variables"], records)))
+    return out.unionByName(review.call_documents(calls, dataflow.call_parameters(calls, r["sites"]))).select(*_DOCUMENT)
+
+
+_DOCUMENT = ("id", "type", "program", "title", "embedding_text", "content", "meta")
+
+
+@query()
+def structure_documents(spark, sf_dir):
+    """Documents of a program's screens, graph, dead code and copybooks, and of jobs' files."""
+    r, a = _program(spark), _jobs(spark)
+    reached = graph.reachable_by_program(r["edges"], r["programs"].select("program", F.col("program").alias("node")))
+    books = facts.copybooks(_records(spark)).select("program", "name")
+    out = review.navigation_documents(graph.screen_actions(r["edges"]), graph.screen_maps(frame(spark, "fx_cobol"), r["programs"]))
+    for more in (
+        review.graph_documents(r["nodes"], r["edges"]),
+        review.dead_code_documents(r["programs"], r["comments"], r["nodes"], reached),
+        review.unused_copybook_documents(books, dataflow.copybook_evidence(books, r["variables"], r["sites"])),
+        review.job_file_documents(a["steps"], a["step_datasets"]),
+        review.screen_documents(dataflow.screen_lineage(r["variables"], r["sites"], r["programs"].select("program", F.lit("PDCUST01").alias("name")))),
+    ):
+        out = out.unionByName(more)
+    return out.select(*_DOCUMENT)
+
+
+@query()
+def next_actions(spark, sf_dir):
+    return review.next_actions(quality.top_reasons(_status(spark)))

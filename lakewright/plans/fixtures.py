@@ -151,6 +151,24 @@ FIXTURES: dict[str, tuple[str, list[tuple]]] = {
     "fx_ranges": ("file string, range_start string, range_end string", [("f", "A", "C"), ("f", "B", "D"), ("f", "D", "B"), ("f", "A", "X"), ("g", "A", "B")]),
     "fx_conditions": ("id int, condition string", [(i, c) for i, c in enumerate(["X = 'I' OR 'A'", "(X = 'I') AND (X = 'A')", "NOT (A NOT GREATER B)", "A = 1 OR A = 1 OR B = 2", "A = 1 OR (A = 1 AND B = 2)", "NOT (X = 'I') AND X = 'I'", "((A = 1", "TAB(I) = 'X' AND (B = 1 OR C = 2)", "", None])]),
     "fx_texts": ("id int, text string", [(i, t) for i, t in enumerate(["  Padded NAME. ", "name.,", "MOVE 'A''B' TO X-1 Y", "two  spaces\tand\n\n lines ", "a/b\\c.tar.gz", "MIXED 'quo<==ted' <== a  note", "DSN=A,DISP=(NEW,CATLG),PARM='x,y'  note", "123456 CODE *> why", "→ and â†’", "", None])]),
+    "fx_dds": ("id int, ddname string, disp string, sysout string, raw string, dsn string, program string", [
+        (1, "OUT", None, "*", "DD SYSOUT=*", None, "P"), (2, "NUL", None, None, "DD DUMMY", None, "P"), (3, "SYSIN", "SHR", None, "DD DSN=A,DISP=SHR", "A", "P"), (4, "X", "(OLD,DELETE)", None, "DD", "A", "IEFBR14"),
+        (5, "SORTIN", "NEW", None, "DD", "A", "P"), (6, "SORTOUT", "SHR", None, "DD", "SYS1.LIB", "P"), (7, "X", " ( SHR , KEEP )", None, "DD", "A", None), (8, "X", "(MOD,CATLG)", None, "DD", "&&T", "P"), (9, "X", "(,PASS)", None, "DD", "&&T", "P"),
+        (10, "X", None, None, "DD", "SYSOUT.X", "P"), (11, "X", None, None, "DD *", None, "P"), (12, None, "(OLD,CATLG,DELETE)", "", "DD", "", "P"),
+    ]),
+    "fx_usage": ("file string, job string, dsn string, execution_order int, dd_ordinal int, step string, access_type string, dataset_kind string", [
+        ("f", "J", d, o, i, f"S{o}", a, k) for d, o, i, a, k in [("A", 1, 1, "read", "persistent"), ("A", 2, 1, "write", "persistent"), ("A", 3, 1, "read", "persistent"), ("A", 3, 2, "read", None), ("A", 4, 1, "delete", None), ("B", 1, 2, "control", None), ("B", 5, 1, "write", "temporary"), ("C", 2, 2, "write", None), ("C", 2, 3, "write", "system"), ("C", 6, 1, "unknown", "system"), ("D", 7, 1, "read", "persistent")]
+    ]),
+    "fx_steps": ("file string, seq int, step string, scope string, defined_in_proc string, program string, proc string, exec_kind string, resolved_locally boolean", [
+        ("f", 1, "P1", "procedure_definition", "PR", "X", None, "program", False), ("f", 2, "P2", "procedure_definition", "PR", "Y", None, "program", False), ("f", 3, "S1", "job", None, "A", None, "program", False), ("f", 4, "S2", "job", None, None, "PR", "procedure", True),
+        ("f", 5, "S3", "job", None, None, "GONE", "procedure", False), ("f", 6, "S4", "job", None, None, "PR", "procedure", True), ("g", 1, "S1", "job", None, "A", None, "program", False),
+    ]),
+    "fx_vars": ("program string, variable string, origin string", [("P", "A-1", "WORKING-STORAGE"), ("P", "A-2", "COPY:PDCBVCM"), ("P", "B", "UNKNOWN"), ("Q", "A-1", "LINKAGE"), ("Q", "C", "WORKING-STORAGE"), ("P", "PD1FS00-X", "COMMAREA")]),
+    "fx_sites": ("program string, variable string, kind string, paragraph string, line int, statement string, targets string", [
+        ("P", "A-1", "write", "INIT", 10, "MOVE 'X' TO A-1", ""), ("P", "A-1", "write", "MAIN", 20, "MOVE B TO A-1", ""), ("P", "A-1", "read", "MAIN", 30, "MOVE A-1 TO B", ""), ("P", "A-1", "control", "MAIN", -1, "A-1 = 'X'", "EXIT-P,OUT"),
+        ("P", "A-2", "write", "INIT", 12, "MOVE +12.5 TO A-2", ""), ("P", "A-2", "write", "INIT", 12, "MOVE +12.5 TO A-2", ""), ("P", "B", "read", "MAIN", 20, "MOVE B TO A-1", ""), ("P", "B", "write", "MAIN", 30, "MOVE A-1 TO B", ""),
+        ("Q", "A-1", "read", "TOP", 5, "DISPLAY A-1", ""), ("P", "PD1FS00-X", "write", "MAIN", 25, 'MOVE "a" TO PD1FS00-X', ""), ("P", "PD1FS00-X", "read", "MAIN", 45, "IF PD1FS00-X = 1", ""),
+    ]),
     "fx_programs": ("program string, cobol_count int, manifest_valid boolean, has_mapa boolean, has_controlflow boolean, copybook_count int, missing_copybooks int", [
         ("A", 1, True, True, True, 3, 0), ("B", 0, True, True, True, 3, 0), ("C", 2, None, True, True, 0, 0), ("D", 1, False, True, True, 2, 2), ("E", 1, True, False, False, 1, 0), ("F", 1, True, True, True, 1, 0),
     ]),

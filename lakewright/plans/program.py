@@ -21,16 +21,16 @@ def program_relations(lines: DataFrame, copybook_lines: DataFrame | None = None,
     edges(program, edge_no, src, dst) of a given control-flow graph; without them they are extracted from the text.
     ``keep`` is applied to what several relations are built from: operators.checkpoint.checkpointed on a cluster.
     """
-    programs = program_names(lines)
-    nodes, own = graph.extract(lines)
+    programs = keep(program_names(lines))
+    nodes, own = map(keep, graph.extract(lines))
     edges = own if edges is None else edges
     order = cobol.raw_paragraph_order(lines, programs).join(programs, "file").select("program", "paragraph", "ord")
     rich = keep(graph.enriched(edges, cobol.raw_paragraph_lines(lines, programs), order, overrides))
     flow = dataflow.program_dataflow(lines, programs, copybook_lines, rich)
     flow |= {"variables": keep(flow["variables"]), "sites": keep(flow["sites"])}
     rule = rules.rules(rich)
-    told = comments.classified(cobol.comments(lines)).join(programs, "file")
-    called = dataflow.outgoing_calls(cobol.terminated_statements(lines)).join(programs, "file")
+    told = keep(comments.classified(cobol.comments(lines)).join(programs, "file"))
+    called = keep(dataflow.outgoing_calls(cobol.terminated_statements(lines)).join(programs, "file"))
     return flow | {"programs": programs, "nodes": nodes, "edges": rich, "rules": rule, "comments": told, "calls": called}
 
 
