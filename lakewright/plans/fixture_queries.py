@@ -94,7 +94,10 @@ def condition_lint(spark, sf_dir):
     return rows.select("program", "edge_no", F.array_join(classify.condition_issues(F.col("condition")), ",").alias("issues"))
 
 
-@query()
+@query(f"""WITH {sql('fx_edges')}, x AS (SELECT *, coalesce(condition, '') <> '' AS has, length(replace(condition, '(', '')) <> length(replace(condition, ')', '')) AS ub, regexp_matches(condition, '\\({{4,}}|\\){{4,}}') AS mp,
+ list_transform(regexp_split_to_array(upper(regexp_replace(condition, '[()]', '', 'g')), '\\s+OR\\s+'), lambda x: trim(x)) AS t FROM fx_edges)
+SELECT count(*) AS n_edges, count(*) FILTER (has) AS n_conditions, round(count(*) FILTER (has AND ub) / count(*) FILTER (has), 6) AS unbalanced_rate, round(count(*) FILTER (has AND mp) / count(*) FILTER (has), 6) AS many_parens_rate,
+ round(count(*) FILTER (has AND regexp_matches(condition, '(?i)\\b(AND|OR|NOT)\\s*\\)|\\(\\s*(AND|OR)\\b|\\(\\s*\\)|^\\s*(AND|OR)\\b|\\b(AND|OR|NOT)\\s*$')) / count(*) FILTER (has), 6) AS malformed_rate, round(count(*) FILTER (has AND len(list_distinct(t)) < len(t)) / count(*) FILTER (has), 6) AS duplicate_or_term_rate FROM x""")
 def condition_quality(spark, sf_dir):
     """Rates of each issue over all conditions."""
     return graph.condition_quality(frame(spark, "fx_edges"))
@@ -528,12 +531,15 @@ def jcl_documents(spark, sf_dir):
 # --- packages and checks -----------------------------------------------------------------------------
 
 
-@query(f"""WITH {sql('fx_programs')}, {sql('fx_outputs')}, j AS (SELECT coalesce(p.program, o.program) AS program, p.program IS NOT NULL AS hp, o.program IS NOT NULL AS ho, * EXCLUDE (program) FROM fx_programs p FULL JOIN fx_outputs o ON p.program = o.program),
+_STATUS = f"""{sql('fx_programs')}, {sql('fx_outputs')}, j AS (SELECT coalesce(p.program, o.program) AS program, p.program IS NOT NULL AS hp, o.program IS NOT NULL AS ho, * EXCLUDE (program) FROM fx_programs p FULL JOIN fx_outputs o ON p.program = o.program),
 c AS (SELECT program, list_filter([CASE WHEN hp AND cobol_count = 0 THEN 'F:missing COBOL source' END, CASE WHEN hp AND cobol_count > 1 THEN 'W:' || cobol_count || ' COBOL sources in package' END, CASE WHEN hp AND manifest_valid = FALSE THEN 'W:invalid package manifest' END,
  CASE WHEN hp AND NOT has_mapa THEN 'F:missing MAPA' END, CASE WHEN hp AND NOT has_controlflow THEN 'F:missing controlflow' END, CASE WHEN hp AND copybook_count > 0 AND missing_copybooks > 0 THEN 'W:missing ' || missing_copybooks || ' copybooks' END, CASE WHEN hp AND copybook_count = 0 THEN 'W:no copybooks packaged' END,
  CASE WHEN NOT hp THEN 'W:no input package' END, CASE WHEN NOT ho THEN 'F:no pipeline output' END, CASE WHEN ho AND invalid_json > 0 THEN 'F:' || invalid_json || ' invalid JSON files' END,
- CASE WHEN ho AND n_missing > 0 THEN 'W:missing artifacts: ' || array_to_string(list_transform(generate_series(1, least(5, n_missing)), lambda i: 'a' || i), ', ') || CASE WHEN n_missing > 5 THEN ', +' || (n_missing - 5) || ' more' ELSE '' END END], lambda x: x IS NOT NULL) AS n FROM j)
-SELECT program, CASE WHEN len(list_filter(n, lambda x: starts_with(x, 'F'))) > 0 THEN 'FAIL' WHEN len(n) > 0 THEN 'WARN' ELSE 'OK' END AS status, CASE WHEN len(n) = 0 THEN 'ready' ELSE array_to_string(list_transform(n, lambda x: substr(x, 3)), '|') END AS notes FROM c""")
+ CASE WHEN ho AND n_missing > 0 THEN 'W:missing artifacts: ' || array_to_string(list_transform(generate_series(1, least(5, n_missing)), lambda i: 'a' || i), ', ') || CASE WHEN n_missing > 5 THEN ', +' || (n_missing - 5) || ' more' ELSE '' END END], lambda x: x IS NOT NULL) AS n FROM j),
+t AS (SELECT program, CASE WHEN len(list_filter(n, lambda x: starts_with(x, 'F'))) > 0 THEN 'FAIL' WHEN len(n) > 0 THEN 'WARN' ELSE 'OK' END AS status, CASE WHEN len(n) = 0 THEN 'ready' ELSE array_to_string(list_transform(n, lambda x: substr(x, 3)), '|') END AS notes FROM c)"""
+
+
+@query(f"WITH {_STATUS} SELECT * FROM t")
 def program_status(spark, sf_dir):
     """What packages and outputs lack, program by program."""
     return _status(spark).withColumn("notes", F.array_join("notes", "|"))
@@ -545,12 +551,15 @@ def _status(spark):
     return quality.program_status(frame(spark, "fx_programs"), outputs.select("program", "invalid_json", lacks.alias("missing_artifacts")))
 
 
-@query()
+@query(f"WITH {_STATUS} SELECT count(*) AS program_count, count(*) FILTER (status = 'OK') AS ok, count(*) FILTER (status = 'WARN') AS warn, count(*) FILTER (status = 'FAIL') AS fail FROM t")
 def status_summary(spark, sf_dir):
     return quality.status_summary(_status(spark))
 
 
-@query()
+_REASONS = f"{_STATUS}, u AS (SELECT program, unnest(string_split(notes, '|')) AS note FROM t), g AS (SELECT note, count(*) AS n, min(program) AS first FROM u WHERE note <> 'ready' GROUP BY note ORDER BY n DESC, first, note LIMIT 20)"
+
+
+@query(f"WITH {_REASONS} SELECT note, n FROM g")
 def top_reasons(spark, sf_dir):
     return quality.top_reasons(_status(spark), 20)
 
@@ -699,6 +708,6 @@ def structure_documents(spark, sf_dir):
     return out.select(*_DOCUMENT)
 
 
-@query()
+@query(f"WITH {_REASONS} SELECT note || ': ' || n || ' program(s)' AS action, n FROM g")
 def next_actions(spark, sf_dir):
     return review.next_actions(quality.top_reasons(_status(spark)))

@@ -56,9 +56,26 @@ def chunk_index_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k.doc_id", "chunk_index", "chunk_count", "k.lang", ids.joined_id(F.col("k.doc_id"), F.col("chunk_index")).alias("id"), ids.content_hash(F.col("chunk")).alias("content_hash"))
 
 
-@query()
+def _last_place(mark: str) -> str:
+    """Place (from 0) of the last occurrence of a mark in w, -1 without one."""
+    back = f"strpos(reverse(w), reverse({mark}))"
+    return f"CASE WHEN {back} = 0 THEN -1 ELSE length(w) - {back} - length({mark}) + 1 END"
+
+
+@query(f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE text IS NOT NULL),
+r AS (
+  SELECT doc_id, 0 AS pos, CASE WHEN n <= 1200 THEN n ELSE ({{end}}) END AS stop, n FROM (SELECT doc_id, n, 0 AS pos, substr(text, 1, 1200) AS w FROM d)
+  UNION ALL
+  SELECT doc_id, pos, CASE WHEN pos + 1200 >= n THEN n ELSE ({{end}}) END AS stop, n
+  FROM (SELECT d.doc_id, d.n, greatest(r.stop - 120, r.pos + 1) AS pos, substr(d.text, greatest(r.stop - 120, r.pos + 1) + 1, 1200) AS w FROM r JOIN d USING (doc_id) WHERE r.stop < r.n)
+),
+c AS (SELECT doc_id, pos, CASE WHEN n <= 1200 THEN text ELSE regexp_replace(regexp_replace(substr(text, pos + 1, stop - pos), '^{_WS}', ''), '{_WS}$', '') END AS chunk, n FROM r JOIN d USING (doc_id, n)),
+k AS (SELECT doc_id, pos, chunk FROM c WHERE chunk <> '' OR n <= 1200)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS chunk_index, CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS chunk_count, substr(sha256(chunk), 1, 24) AS content_hash FROM k
+""".replace("{end}", f"pos + CASE WHEN greatest({_last_place('chr(10)')}, {_last_place("'. '")}, {_last_place("'; '")}) > 780 THEN greatest({_last_place('chr(10)')}, {_last_place("'. '")}, {_last_place("'; '")}) + 1 ELSE 1200 END"))
 def chunk_index_soft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks that end at lines and sentences; tested against a plain loop."""
+    """Chunks that end at lines and sentences."""
     rows = index.soft_chunks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", 1200, 120)
     return rows.select("doc_id", "chunk_index", "chunk_count", ids.content_hash(F.col("chunk")).alias("content_hash"))
 
