@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections import defaultdict, deque
 
 import pandas as pd
@@ -160,23 +161,29 @@ def enriched(edges: DataFrame, paragraph_lines: DataFrame, order: DataFrame, ove
     return both.select(*[pick(c) if c in ("type", "condition", "evidence") else c for c in names])
 
 
+#: Rounds of a search whose results stand in files of their own.
+MERGE = 16
+
+
 def reachable(edges: DataFrame, roots: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """program, node: all that roots(program, node) reach over edges(program, src, dst), the roots included.
 
     Each round joins only the newest nodes with the edges and keeps those not seen before; rounds are checkpointed,
-    since a lost executor would otherwise repeat them all. As many rounds as the longest shortest path.
+    since a lost executor would otherwise repeat them all. What was seen is the union of the rounds' files, written
+    anew only every MERGE rounds. As many rounds as the longest shortest path.
     """
     from .checkpoint import checkpointed
 
-    edges = edges.select("program", "src", "dst").distinct()
+    edges = checkpointed(edges.select("program", "src", "dst").distinct())
     fresh = checkpointed(roots.select("program", "node").distinct())
-    seen = fresh
+    parts = [fresh]
     for _ in range(max_rounds):
+        seen = functools.reduce(DataFrame.union, parts)
         step = fresh.join(edges, (fresh["program"] == edges["program"]) & (fresh["node"] == edges["src"])).select(fresh["program"], F.col("dst").alias("node")).distinct()
         fresh = checkpointed(step.join(seen, ["program", "node"], "left_anti"))
         if fresh.isEmpty():
             return seen
-        seen = checkpointed(seen.union(fresh))
+        parts = [*parts, fresh] if len(parts) < MERGE else [checkpointed(seen), fresh]
     raise RuntimeError(f"reachability did not settle in {max_rounds} rounds")
 
 

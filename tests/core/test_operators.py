@@ -75,6 +75,8 @@ def test_reachability_loops_agree_on_cycles(spark):
     one, many = graph.reachable(edges, roots), graph.reachable_by_program(edges, roots)
     assert {tuple(r) for r in one.collect()} == {tuple(r) for r in many.collect()}
     assert one.where("program = 'z'").count() == 1
+    chain = spark.createDataFrame([("p", str(i), str(i + 1)) for i in range(20)], "program string, src string, dst string")
+    assert graph.reachable(chain, roots.where("program = 'p'")).count() == 21  # more rounds than stand apart
 
 
 def test_comparison_of_graphs(spark):
