@@ -68,17 +68,17 @@ def nearest(left: DataFrame, right: DataFrame, key: list[str], at: str, n: int,
 
     left and right have columns key, at and tie (an id). Every right row is numbered within its key once; a left
     row carries the number reached so far, so its partners are n consecutive numbers: an equi-join on key and
-    number, without looking at all pairs.
+    number, without looking at all pairs. Rows without a place have no neighbours.
     """
     if side not in ("before", "after"):
         raise ValueError(side)
-    sign = 1 if side == "before" else -1
-    axis = F.col(at).cast("double") * sign if dict(left.dtypes)[at] not in ("timestamp", "timestamp_ntz") else F.unix_micros(F.col(at).cast("timestamp")) * sign
-    other = right.select(*key, F.col(at).alias("r_at"), F.col(tie).alias("r_id"), axis.alias("__x"), F.lit(0).alias("__left"), F.col(tie).alias("__t"))
-    own = left.select(*key, F.col(at).alias("l_at"), F.col(tie).alias("l_id"), axis.alias("__x"), F.lit(1).alias("__left"), F.col(tie).alias("__t"))
+    along = F.asc if side == "before" else F.desc
+    placed = lambda df: df.where(F.col(at).isNotNull())
+    other = placed(right).select(*key, F.col(at).alias("r_at"), F.col(tie).alias("r_id"), F.col(at).alias("__x"), F.lit(0).alias("__left"), F.col(tie).alias("__t"))
+    own = placed(left).select(*key, F.col(at).alias("l_at"), F.col(tie).alias("l_id"), F.col(at).alias("__x"), F.lit(1).alias("__left"), F.col(tie).alias("__t"))
     both = own.unionByName(other, allowMissingColumns=True)
     # Right rows of the same place come before the left row, which may take them.
-    over = Window.partitionBy(*key).orderBy("__x", "__left", F.col("__t") * sign).rowsBetween(Window.unboundedPreceding, 0)
+    over = Window.partitionBy(*key).orderBy(along("__x"), "__left", along("__t")).rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumn("__n", F.sum(1 - F.col("__left")).over(over))
     numbered = both.where("__left = 0").select(*key, "__n", "r_at", "r_id")
     wanted = both.where("__left = 1 AND __n > 0").select(*key, "l_at", "l_id", F.col("__n").alias("__top"), F.explode(F.sequence(F.greatest(F.lit(1), F.col("__n") - n + 1), F.col("__n"))).alias("__n"))

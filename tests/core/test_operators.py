@@ -36,12 +36,12 @@ def test_filling_forward_in_buckets_is_filling_forward(spark, strictly):
 @pytest.mark.parametrize("side", ["before", "after"])
 def test_nearest_is_brute_force(spark, side):
     random.seed(3)
-    left = [(random.choice("ab"), random.randrange(40), i) for i in range(30)]
+    left = [(random.choice("ab"), random.randrange(40), i) for i in range(30)] + [("a", None, 90)]
     right = [(random.choice("ab"), random.randrange(40), 100 + i) for i in range(60)]
     make = lambda rows: spark.createDataFrame(rows, "k string, t int, id int")
     got = {(r.l_id, r.place): r.r_id for r in relational.nearest(make(left), make(right), ["k"], "t", 3, side, "id").collect()}
     want = {}
-    for k, t, i in left:
+    for k, t, i in left[:-1]:
         own = [(rt, ri) for rk, rt, ri in right if rk == k and (rt <= t if side == "before" else rt >= t)]
         for place, (_, ri) in enumerate(sorted(own, reverse=side == "before")[:3], 1):
             want[i, place] = ri
