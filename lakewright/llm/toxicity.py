@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from .common import map_batches
+from .common import checkpointed, map_batches
 from .labelled import MAX_TRAINING_ROWS, crc_of_key, sample
 
 BUCKETS = 1 << 18
@@ -57,6 +57,14 @@ class FactorizationMachine:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[rows].sum() + both, -30, 30))))
 
 
+def telling(one: np.ndarray, zero: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Buckets of the terms to keep, best first, by how many texts of label 1 and of label 0 hold each."""
+    n, held = n1 + n0, one + zero
+    chi2 = n * (one * n0 - zero * n1) ** 2 / np.maximum(held * (n - held) * n1 * n0, 1)
+    kept = np.flatnonzero((held >= 2) & (chi2 >= MIN_CHI2))
+    return kept[np.argsort(-chi2[kept], kind="stable")[:MAX_TERMS]]
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 40, rate: float = 0.3, decay: float = 1e-4, seed: int = 7) -> FactorizationMachine:
     """Adagrad on the log loss. Without both labels the score is the share of 1 (0 without any label)."""
     place = np.full(BUCKETS, -1, np.int32)
@@ -66,10 +74,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 40, rate: floa
     one = np.bincount(np.concatenate([d for d, y in zip(docs, labels, strict=True) if y] or [np.zeros(0, np.int32)]), minlength=BUCKETS).astype(float)
     zero = np.bincount(np.concatenate([d for d, y in zip(docs, labels, strict=True) if not y] or [np.zeros(0, np.int32)]), minlength=BUCKETS).astype(float)
     n1, n0 = labels.sum(), len(labels) - labels.sum()
-    n, held = n1 + n0, one + zero
-    chi2 = n * (one * n0 - zero * n1) ** 2 / np.maximum(held * (n - held) * n1 * n0, 1)
-    kept = np.flatnonzero((held >= 2) & (chi2 >= MIN_CHI2))
-    kept = kept[np.argsort(-chi2[kept], kind="stable")[:MAX_TERMS]]
+    kept = telling(one, zero, n1, n0)
     place[kept] = np.arange(len(kept))
     random = np.random.default_rng(seed)
     # Weights start from damped log odds: a term that texts of label 1 share out among many still counts alone.
@@ -99,13 +104,31 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 40, rate: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) -> FactorizationMachine:
-    """Fits on the bounded sample. Terms are hashed where the texts are; packed term lists reach the driver."""
+    """Fits on the bounded sample. Terms are hashed and counted where the texts are.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = [terms(t).astype(np.int32).tobytes() for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "terms": pa.array(packed, pa.binary())})
+    The driver gets one count for each bucket (BUCKETS at most), chooses the terms to keep, and then gets of each
+    sampled row those terms only: at most ``limit`` rows of MAX_TERMS numbers, however long the texts are.
+    """
 
-    rows = map_batches(sample(docs, labels, "toxic", MODULUS, HELD, limit), run, "doc_id long, label int, terms binary").collect()
+    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [terms(t) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "terms": pa.array(found, pa.list_(pa.int32()))})
+
+    chosen = checkpointed(map_batches(sample(docs, labels, "toxic", MODULUS, HELD, limit), hashed, "doc_id long, label int, terms array<int>"))
+    by_label = dict(chosen.groupBy("label").count().collect())
+    n1, n0 = by_label.get(1, 0), by_label.get(0, 0)
+    counts = chosen.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("label").alias("one"), F.count(F.lit(1)).alias("all")).toArrow()
+    one, both = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    at = counts.column("term").to_numpy()
+    one[at], both[at] = counts.column("one").to_numpy(), counts.column("all").to_numpy()
+    kept = np.sort(telling(one, both - one, n1, n0)).astype(np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast(kept)
+
+    def packed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [np.intersect1d(np.array(t, np.int32), shared.value, assume_unique=True).tobytes() for t in batch.column("terms").to_pylist()]
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "terms": pa.array(own, pa.binary())})
+
+    rows = map_batches(chosen, packed, "doc_id long, label int, terms binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.terms)))
     return fit([np.frombuffer(bytes(r.terms), np.int32) for r in rows], np.array([r.label for r in rows], float))
 
