@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import heapq
 
 import ahocorasick
 import pyarrow as pa
@@ -101,17 +102,70 @@ class Scanner:
         found = []
         for n, own in windows.items():
             for low, high in _merged(own):
-                at = low
-                while m := self.patterns[n].search(flat, at, high):
-                    start, end, edits = m.start(), m.end(), sum(m.fuzzy_counts)
-                    if end <= start:
-                        break
-                    if not edits or self.names[n] <= set(flat[start:end].split(" ")):
-                        found.append((start, end, self.notices[n][1], edits))
-                    at = end
+                found += [(start, end, self.notices[n][1], edits) for edits, start, end in self.spans(n, flat, low, high)]
         # Where notices overlap, those with the fewest edits hold.
         return _fewest(found)
 
+    def spans(self, n: int, flat: str, low: int, high: int) -> list[tuple[int, int, int]]:
+        """(edits, start, end) of notice n in the window: always a span of fewest edits of those that overlap none
+        taken before.
+
+        What is left on both sides of a span is searched again. A long window is searched in parts that overlap by
+        the longest match, so every match lies in one of them whole and no search runs over the whole window.
+        """
+        reach = len(self.notices[n][0]) + allowed(self.notices[n][0])
+        taken: list[tuple[int, int]] = []
+        heap: list[tuple[int, int, int, int, int]] = []
+
+        def look(a: int, b: int) -> None:
+            if best := self.best(n, flat, a, b):
+                heapq.heappush(heap, (*best, a, b))
+
+        for a in range(low, max(low + 1, high - reach), reach):
+            look(a, min(high, a + 2 * reach))
+        out = []
+        while heap:
+            edits, start, end, a, b = heapq.heappop(heap)
+            i = bisect.bisect_left(taken, (end,))
+            if not i or taken[i - 1][1] <= start:
+                taken.insert(i, (start, end))
+                out.append((edits, start, end))
+            # Round all that is taken by now, this span or one of another part included.
+            for start, end in taken[bisect.bisect_left(taken, (a + 1 - reach,)) : bisect.bisect_left(taken, (b,))]:
+                if a < start:
+                    look(a, start)
+                a = max(a, end)
+            if a < b:
+                look(a, b)
+        return out
+
+    def best(self, n: int, flat: str, low: int, high: int) -> tuple[int, int, int] | None:
+        """(edits, start, end) of the span of fewest edits in low..high that is notice n."""
+        notice = self.notices[n][0]
+        if high - low < len(notice) - allowed(notice):
+            return None
+        m = self.patterns[n].search(flat, low, high)
+        if not m or m.end() <= m.start():
+            return None
+        edits = sum(m.fuzzy_counts)
+        if not edits or self.names[n] <= set(m.group().split(" ")):
+            return edits, m.start(), m.end()
+        if not all(name in flat[low:high] for name in self.names[n]):
+            return None
+        # Another licence's notice is nearest: it must not hide one with the name, so every span is measured.
+        held, limit = None, allowed(notice)
+        for start in range(low, high):
+            row = list(range(len(notice) + 1))
+            for end in range(start, high):
+                new = [row[0] + 1]
+                for j, wanted in enumerate(notice):
+                    new.append(min(row[j] + (flat[end] != wanted), row[j + 1] + 1, new[j] + 1))
+                row = new
+                if min(row) > limit:
+                    break
+                if row[-1] <= limit and self.names[n] <= set(flat[start : end + 1].split(" ")):
+                    held, limit = (row[-1], start, end + 1), row[-1] - 1
+        return held
 
 def _fewest(found: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
     """found without those that one of fewer edits overlaps; any two of equal edits may overlap."""

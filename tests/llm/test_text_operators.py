@@ -248,6 +248,57 @@ def test_license_names_are_not_edited_into_others(docs_of):
     assert "cc-by-nd" not in labels[0] and "mit" not in labels[1] and labels[2] == ""
 
 
+def spans_by_edit_distance(scanner, n, flat):
+    """Sorted edits of the spans of notice n: all spans measured, those of fewest edits first, none over another."""
+    notice, k = scanner.notices[n][0], license.allowed(scanner.notices[n][0])
+    spans = []
+    for start in range(len(flat)):
+        row = list(range(len(notice) + 1))
+        for end in range(start, min(len(flat), start + len(notice) + k)):
+            new = [row[0] + 1]
+            for j, c in enumerate(notice):
+                new.append(min(row[j] + (flat[end] != c), row[j + 1] + 1, new[j] + 1))
+            row = new
+            if min(row) > k:
+                break
+            if row[-1] <= k and (not row[-1] or scanner.names[n] <= set(flat[start : end + 1].split(" "))):
+                spans.append((row[-1], start, end + 1))
+    taken = []
+    for span in sorted(spans):
+        if all(span[2] <= a or b <= span[1] for _, a, b in taken):
+            taken.append(span)
+    return sorted(edits for edits, _, _ in taken)
+
+
+def test_license_repeats_of_edited_notices_are_all_found(docs_of):
+    edited, plain = "licensed under the mit licence", "licensed under the mit license"
+    texts = [" ".join([*[edited] * 9, plain] * 20), f"{edited} see file {plain}", " ".join([edited] * 300)]
+    got = {r.doc_id: r.spans for r in license.find_notices(docs_of(texts)).collect()}
+    assert [len(got[i]) for i in range(3)] == [200, 2, 300]
+    for i, spans in got.items():
+        assert all(texts[i][s.start : s.end] == (edited if s.edits else plain) for s in spans)
+        assert all(a.end < b.start for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("notice", ["licensed under the mit license", "licensed under cc by nc", "creative commons attribution"])
+def test_license_spans_of_merged_windows_are_brute_force(notice):
+    rng = random.Random(notice)
+    scanner = license.Scanner({notice: "x"}, {})
+    texts = ["licensed under cc by n nc", "licensed under the bsd license mit licensed under the mit licens"]
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randint(2, 6)):
+            c = list(notice)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):
+                i = rng.randrange(len(c))
+                c[i : i + rng.randint(0, 1)] = rng.choice(["", *"acelns "])
+            parts += ["".join(c), *rng.sample(["see file", "license", "mit", "nc", "the"], rng.randint(0, 1))]
+        texts.append(" ".join(" ".join(parts).split()))
+    for flat in texts:
+        found = scanner.fuzzy(flat)
+        assert sorted(edits for *_, edits in found) == spans_by_edit_distance(scanner, 0, flat), flat
+
+
 # --- pseudonyms
 
 
