@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_bytes, map_batches, word_places, words
 
@@ -187,26 +188,55 @@ def decontaminate(
     if remove not in ("documents", "spans"):
         raise ValueError(remove)
     context = docs.sparkSession.sparkContext
-    for one in [context.broadcast(s) for s in window_sets(benchmark, n, max_windows)]:
-        docs = docs.mapInArrow(_cutter(one, remove, text), docs.schema)
-    return docs
+    shared = [context.broadcast(s) for s in window_sets(benchmark, n, max_windows)]
+    if remove == "documents":
+        for one in shared:
+            docs = docs.mapInArrow(_dropper(one, text), docs.schema)
+        return docs
+    # Every pass marks words of the uncut text; the last cuts what all have marked.
+    mark = "__spans"
+    while mark in docs.columns:
+        mark += "_"
+    marked = T.StructType([*docs.schema.fields, T.StructField(mark, T.ArrayType(T.ArrayType(T.IntegerType())))])
+    frame = docs
+    for i, one in enumerate(shared):
+        last = i + 1 == len(shared)
+        frame = frame.mapInArrow(_cutter(one, text, mark, last), docs.schema if last else marked)
+    return frame
+
+
+def _parts(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            yield batch.slice(start, 256)
+
+
+def _dropper(shared, text: str):
+    def run(batches):
+        for part in _parts(batches):
+            found = [shared.value.scan(words(v))[0] for v in as_bytes(part.column(part.schema.get_field_index(text)))]
+            yield part.filter(pa.array([not f for f in found], pa.bool_()))
+
+    return run
 
 
-def _cutter(shared, remove: str, text: str):
+def _cutter(shared, text: str, mark: str, last: bool):
     def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                column = part.schema.get_field_index(text)
-                values = as_bytes(part.column(column))
-                found = [shared.value.scan(words(v))[0] for v in values]
-                if remove == "documents":
-                    yield part.filter(pa.array([not f for f in found], pa.bool_()))
-                elif any(found):
-                    cut = [_without(v, f) if f else v for v, f in zip(values, found, strict=True)]
-                    yield part.set_column(column, part.schema.field(column), pa.array(cut, pa.binary()).cast(part.schema.field(column).type))
-                else:
-                    yield part
+        for part in _parts(batches):
+            column = part.schema.get_field_index(text)
+            values = as_bytes(part.column(column))
+            found = [shared.value.scan(words(v))[0] for v in values]
+            if mark in part.schema.names:
+                before = part.column(part.schema.get_field_index(mark)).to_pylist()
+                found = [merge([*map(tuple, b), *f]) for b, f in zip(before, found, strict=True)]
+                part = part.select([c for c in part.schema.names if c != mark])
+            if not last:
+                yield part.append_column(mark, pa.array([[list(s) for s in f] for f in found], pa.list_(pa.list_(pa.int32()))))
+            elif any(found):
+                cut = [_without(v, f) if f else v for v, f in zip(values, found, strict=True)]
+                yield part.set_column(column, part.schema.field(column), pa.array(cut, pa.binary()).cast(part.schema.field(column).type))
+            else:
+                yield part
 
     return run
 

@@ -208,6 +208,19 @@ def test_decontamination_cuts_spans(spark, docs_of):
     assert decontam.report(docs_of([]), bench).count() == 0
 
 
+@pytest.mark.parametrize("max_windows", [500_000, 7])
+def test_decontamination_cuts_the_same_in_several_passes(spark, docs_of, max_windows):
+    w = [f"w{i}" for i in range(1, 41)]
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    texts = ["keep " + " ".join(w[a:b]) + " this" for a in range(0, 25, 3) for b in range(a + 8, 40, 5)]
+    # Words that only a cut brings together are no window.
+    texts += [" ".join([*w[:6], *w[20:32], *w[6:12]]), None, ""]
+    cut = decontam.decontaminate(docs_of(texts), bench, remove="spans", max_windows=max_windows)
+    want = [t if t is None or len(t.split()) < 12 else "keep  this" for t in texts[:-3]] + [" ".join(w[:6]) + "  " + " ".join(w[6:12]), None, ""]
+    assert [r.text for r in sorted(cut.collect())] == want
+    assert cut.columns == docs_of([]).columns
+
+
 def test_word_places():
     text = "Ab, çd  9!".encode()
     assert [text[a:b].lower() for a, b in word_places(text)] == [w for w in words(text)]
