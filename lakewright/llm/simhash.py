@@ -59,14 +59,19 @@ def fingerprint(text: bytes | None, n: int = SHINGLE, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every whole text; null texts have no words, so zero."""
+    """doc_id, fp (the 64 bits as a signed long), text_hash of every whole text; null texts have no words, so zero."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.array([fingerprint(t) for t in as_bytes(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp)})
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp), "text_hash": batch.column(2)})
 
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_batches(source, run, "doc_id long, fp long")
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _text_hash(text).alias("text_hash"))
+    return map_batches(source, run, "doc_id long, fp long, text_hash long")
+
+
+def _text_hash(text: str) -> F.Column:
+    """Tells the texts of one doc_id apart; null has one of its own."""
+    return F.xxhash64(F.col(text).cast("string"), F.col(text).isNull())
 
 
 def _bit_groups(blocks: int) -> list[int]:
@@ -175,25 +180,33 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int
     keep their rows; a null doc_id keeps its row and is never the smallest unless its component has no other
     (then component_id is null). Copies meet once, as one fingerprint, before any bucket.
     """
+    return _grouped(docs, key, text, blocks).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _grouped(docs: DataFrame, key: str, text: str, blocks: int) -> DataFrame:
+    """doc_id, fp, text_hash, root (the same for a whole component), component_id of every row of docs."""
     marked = checkpointed(fingerprints(docs, key, text))
     classes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(classes.select("fp"), blocks))
     joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    named = joined.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int = BLOCKS) -> DataFrame:
     """docs with one row of each near-duplicate group: that of the smallest doc_id. Columns stay as they are.
 
-    Rows that repeat a doc_id leave one of them. Rows without a doc_id have nothing to be told apart by:
-    they are all kept.
+    Where that doc_id repeats in the group, one of its rows is left, of its texts that with the smallest hash; rows of
+    a doc_id in different groups are told apart by their texts. Rows without a doc_id have nothing to be told apart
+    by: they are all kept.
     """
-    kept = groups(docs, key, text, blocks).select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct()
-    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
-    return named.select(*docs.columns).union(docs.where(F.col(key).isNull()))
+    rows = _grouped(docs, key, text, blocks).where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
+    kept = rows.groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("text_hash").alias("__kept")).select("__id", "__kept")
+    named = docs.where(F.col(key).isNotNull()).withColumn("__hash", _text_hash(text))
+    found = named.join(kept, (F.col(key).cast("long") == F.col("__id")) & (F.col("__hash") == F.col("__kept")), "left_semi")
+    return found.dropDuplicates([key, "__hash"]).select(*docs.columns).union(docs.where(F.col(key).isNull()))

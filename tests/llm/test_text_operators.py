@@ -158,6 +158,17 @@ def test_simhash_empty_null_and_repeated_ids(docs_of):
     assert simhash.keep_one(docs_of(["a b c d", "a b c d", "x y z"], [7, 7, None])).count() == 2
 
 
+def test_simhash_keeps_one_row_of_each_group_even_if_ids_repeat(docs_of):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"t{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(3, a), (5, a), (5, b), (6, b), (5, b), (5, c), (None, c), (9, None), (9, "")]
+    for _ in range(4):
+        rng.shuffle(rows)
+        kept = simhash.keep_one(docs_of([t for _, t in rows], [i for i, _ in rows])).collect()
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in kept)
+        assert got == sorted([(3, a), (5, b), (5, c), (-1, c), (9, "")])
+
+
 # --- decontamination
 
 
