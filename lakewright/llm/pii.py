@@ -249,9 +249,9 @@ FINDERS: list[tuple[str, str | None, re.Pattern, Callable[[Pseudonymizer, re.Mat
     ("iban", None, re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"), _iban),
     ("card", None, re.compile(r"(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}(?P<s>[ -])[0-9]{4}(?P=s)[0-9]{4}(?P=s)[0-9]{1,7}|[0-9]{4}(?P<t>[ -])[0-9]{6}(?P=t)[0-9]{5})(?![\w-])"), _card),
     ("ssn", "-", re.compile(r"(?<![\w-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![\w-])"), _ssn),
-    ("phone", None, re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?:1[ .-])?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:1[ .-])?[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})(?![\w-])"), _phone),
+    ("phone", None, re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?:1[ .-])?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4})(?![\w-])"), _phone),
     ("ip", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])"), _ip),
-    ("date", None, re.compile(r"(?<![\w./-])(?:[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?!\w|[./-][0-9])"), _date),
+    ("date", None, re.compile(r"(?<![\w./-])(?:[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}(?=T[0-9]|(?!\w|[./-][0-9]))|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4}(?!\w|[./-][0-9]))"), _date),
 ]
 
 

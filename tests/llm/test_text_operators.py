@@ -353,6 +353,22 @@ def test_pseudonyms_keep_their_format_and_their_links():
     assert re.sub("[^0-9]", "", swap("(578) 555-6437")[0]) == re.sub("[^0-9]", "", swap("+1 578-555-6437")[0])[1:]
 
 
+def test_timestamps_and_blank_phones_have_pseudonyms():
+    swap, back = pii.Pseudonymizer(b"key"), pii.Pseudonymizer(b"key", inverse=True)
+    day = swap("1984-05-06")[0]
+    for text in ("at 1984-05-06T00:00:00Z.", "1984-05-06T07", "1984-05-06 07:00"):
+        new, kinds = swap(text)
+        assert new == text.replace("1984-05-06", day) and kinds == {"date": 1}
+        assert back(new)[0] == text
+    assert swap("1984-05-06Tx 1984-05-06T")[1] == {}
+    number = swap("555-234-5678")[0]
+    for text in ("555 234 5678", "1 555 234 5678", "call 555 234 5678, or"):
+        new, kinds = swap(text)
+        assert kinds == {"phone": 1} and number.replace("-", " ") in new
+        assert back(new)[0] == text
+    assert swap("055 234 5678 and 555 034 5678")[1] == {}
+
+
 def test_values_that_are_not_valid_stay():
     for text in ["4918187128635272", "666-45-6789", "2021-02-30", "999.1.1.1", "version 4.0.", "1.2.3", "DE00 3704 0044 0532 0130 00", "tokens and secrets", "a@b", "3:45", "12345"]:
         assert pii.Pseudonymizer(b"key")(text) == (text, {})
