@@ -54,18 +54,21 @@ def propagate(fragments: DataFrame, places: list[int], rounds: int = ROUNDS) ->
         room = [places[s] - (load.get(s) or 0) for s in range(shards)]
         held = F.array(*[F.lit(max(0, r)).cast("long") for r in room])
         votes = fragments.groupBy(*TEXT, "shard").agg(F.sum("n").alias("v"))
-        votes = votes.groupBy(*TEXT).agg(F.collect_list(F.struct("v", (-F.col("shard")).alias("s"))).alias("votes"))
+        # Of equal votes the shard with more room wins, so no text waits for a full shard while another could hold it.
+        order = sorted(range(shards), key=lambda s: (room[s], -s))
+        rank = lambda s: F.element_at(F.array(*[F.lit(order.index(i)) for i in range(shards)]), (s + 1).cast("int"))
+        votes = votes.groupBy(*TEXT).agg(F.collect_list(F.struct("v", rank(F.col("shard")).alias("r"), F.col("shard").alias("s"))).alias("votes"))
         seen = fragments.join(votes, TEXT)
-        own = F.aggregate("votes", F.lit(0).cast("long"), lambda a, x: F.when(x["s"] == -F.col("shard"), x["v"]).otherwise(a))
-        better = lambda x: (x["v"] > own) | ((x["v"] == own) & (-x["s"] < F.col("shard")))
-        fits = lambda x: F.element_at(held, (1 - x["s"]).cast("int")) >= F.col("n")
+        own = F.aggregate("votes", F.lit(0).cast("long"), lambda a, x: F.when(x["s"] == F.col("shard"), x["v"]).otherwise(a))
+        better = lambda x: (x["v"] > own) | ((x["v"] == own) & (x["r"] > rank(F.col("shard"))))
+        fits = lambda x: F.element_at(held, (x["s"] + 1).cast("int")) >= F.col("n")
         target = F.array_max(F.filter("votes", lambda x: better(x) & fits(x)))
         wish = seen.withColumn("wish", target).select(
-            *TEXT, "cell", "n", "shard", (-F.col("wish.s")).cast("int").alias("to"), (F.col("wish.v") - own).alias("gain")
+            *TEXT, "cell", "n", "shard", F.col("wish.s").cast("int").alias("to"), (F.col("wish.v") - own).alias("gain")
         )
         # Movers in order of gain; classes of similar gain are numbered apart, then offset by the classes before.
-        rank = F.when(F.col("to").isNotNull(), F.floor(F.log2(F.col("gain") + 1)) * -PIECES + F.pmod(F.col("g"), F.lit(PIECES)))
-        wish = checkpointed(wish.withColumn("class", rank))
+        turn = F.when(F.col("to").isNotNull(), F.floor(F.log2(F.col("gain") + 1)) * -PIECES + F.pmod(F.col("g"), F.lit(PIECES)))
+        wish = checkpointed(wish.withColumn("class", turn))
         classes = wish.where("to IS NOT NULL").groupBy("to", "class").agg(F.sum("n").alias("sum"))
         # At most shards * 64 gain classes * PIECES rows, whatever the input.
         before = Window.partitionBy("to").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)

@@ -84,6 +84,13 @@ def test_shards_of_odd_tables(docs_of, texts):
     check_shards(shard.assign(docs_of(texts, ids)).collect(), texts, ids)
 
 
+def test_copies_leave_a_full_shard_at_equal_votes(spark):
+    rows = [(g, 0, 1, cell, 1, cell) for g in range(12) for cell in (0, 5)]
+    schema = "g long, text_crc32 long, size long, cell int, n long, shard int"
+    found = shard.propagate(spark.createDataFrame(rows, schema), [12, 0, 0, 0, 0, 24, 0, 0]).collect()
+    assert sorted((r.g, r.shard) for r in found) == [(g, 5) for g in range(12) for _ in range(2)]
+
+
 def test_sharding_runs_no_python(docs_of):
     plan = shard.assign(docs_of(["a", "b", "a"]))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
