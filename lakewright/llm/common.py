@@ -8,9 +8,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows and bytes of text that a Python function sees at once.
+SLICE_ROWS = 256
+SLICE_BYTES = 8 << 20
 #: Bytes of a word: 0-9, a-z and all of a multi-byte character; A-Z become a-z, the rest spaces.
 _WORD_TABLE = bytes(
     (b + 32 if 0x41 <= b <= 0x5A else b) if 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -65,13 +69,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """batch in parts of at most SLICE_ROWS rows and SLICE_BYTES of text; a longer text is a part of its own."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = min(start + SLICE_ROWS, max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each Arrow batch of df; memory is bounded by a batch."""
+    """One output batch for each slice of df's Arrow batches; what fn makes of it is bounded by a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                if (out := fn(batch.slice(start, 256))) is not None:
+            for part in slices(batch):
+                if (out := fn(part)) is not None:
                     yield out
 
     return df.mapInArrow(run, schema)

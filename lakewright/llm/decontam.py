@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, map_batches, word_places, words
+from .common import as_bytes, map_batches, slices, word_places, words
 
 N_GRAM = 10
 #: Windows in one broadcast. Larger benchmarks are scanned in several passes, each over all documents.
@@ -205,15 +205,9 @@ def decontaminate(
     return frame
 
 
-def _parts(batches):
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            yield batch.slice(start, 256)
-
-
 def _dropper(shared, text: str):
     def run(batches):
-        for part in _parts(batches):
+        for part in (p for batch in batches for p in slices(batch)):
             found = [shared.value.scan(words(v))[0] for v in as_bytes(part.column(part.schema.get_field_index(text)))]
             yield part.filter(pa.array([not f for f in found], pa.bool_()))
 
@@ -222,7 +216,7 @@ def _dropper(shared, text: str):
 
 def _cutter(shared, text: str, mark: str, last: bool):
     def run(batches):
-        for part in _parts(batches):
+        for part in (p for batch in batches for p in slices(batch)):
             column = part.schema.get_field_index(text)
             values = as_bytes(part.column(column))
             found = [shared.value.scan(words(v))[0] for v in values]

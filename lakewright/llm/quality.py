@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_batches
+from .common import as_bytes, checkpointed, map_batches, slices
 from .labelled import crc_of_key, sample
 
 MODULUS, HELD = 3, 1
@@ -23,10 +23,11 @@ MODULUS, HELD = 3, 1
 MAX_TRAINING_ROWS = 3_000
 THRESHOLD = 0.5
 SLOPE = 12.0
-#: Lines of a training document that the driver fits on, at most: of a longer one, runs of lines spread evenly over
-#: it (scoring reads every line).
-MAX_FIT_LINES = 400
-FIT_RUNS = 8
+#: Partitions that the sampled documents' features lie in: fixed, so that sums come out the same on every cluster.
+FIT_PARTITIONS = 8
+#: Steps of a fit, at most, and the curvature pairs that its quasi-Newton steps remember.
+STEPS = 25
+MEMORY = 8
 #: Bytes of text whose features are counted at once.
 STRIP_BYTES = 8 << 20
 
@@ -129,7 +130,7 @@ class Crf:
     empty: float = 0.5
 
     def marginals(self, features: np.ndarray, counts: np.ndarray):
-        """P(good) of each line; also the pair marginals summed, for the gradient, and the log partition."""
+        """P(bad) and P(good) of each line; see chain() for the rest."""
         potentials = ((features - self.mean) / self.scale) @ self.emission
         return chain(potentials, counts, self.transition)
 
@@ -147,7 +148,10 @@ class Crf:
 
 
 def chain(potentials: np.ndarray, counts: np.ndarray, transition: np.ndarray):
-    """Forward-backward over all chains together, one step of every chain at a time, longest first."""
+    """Forward-backward over all chains together, one step of every chain at a time, longest first.
+
+    Marginals of every line, pair marginals of every line but the chains' first, those lines' places, log partition.
+    """
     n = len(counts)
     order = np.argsort(-counts, kind="stable")
     sizes, starts = counts[order], (np.cumsum(counts) - counts)[order]
@@ -172,7 +176,7 @@ def chain(potentials: np.ndarray, counts: np.ndarray, transition: np.ndarray):
     first[starts[sizes > 0]] = True
     inner = np.flatnonzero(~first)
     pair = np.exp(alpha[inner - 1][:, :, None] + transition[None] + (potentials[inner] + beta[inner])[:, None, :] - logz[inner][:, None, None])
-    return marginal, pair.sum(0), inner
+    return marginal, pair, inner, logz
 
 
 def _logsum(x: np.ndarray) -> np.ndarray:
@@ -180,29 +184,85 @@ def _logsum(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(x[:, 0], x[:, 1])
 
 
-def fit(features: np.ndarray, counts: np.ndarray, size: np.ndarray, labels: np.ndarray, steps: int = 80, rate: float = 0.08, decay: float = 1e-3) -> Crf:
-    """Fits lines, then the map from documents' marginals to labels. Without both labels the score is constant."""
-    share = float(labels.mean()) if len(labels) else 0.5
-    used = counts > 0
-    width = features.shape[1]
+def _lines(column: pa.Array) -> list[np.ndarray]:
+    """Features and size of the lines of each packed document."""
+    return [np.frombuffer(v, np.float32).reshape(-1, N_FEATURES + 1) for v in column.to_pylist()]
+
+
+def _chained(batch: pa.RecordBatch):
+    """Features, counts, sizes and labels of documents that go through the chain together."""
+    held = _lines(batch.column("lines"))
+    flat = np.concatenate(held)
+    return flat[:, :-1].astype(float), np.array([len(h) for h in held], np.int64), flat[:, -1].astype(float), batch.column("label").to_numpy()
+
+
+class _Sample:
+    """The sampled documents' features, kept as files; sums over their lines are taken where they lie.
+
+    Every pass reads all lines of all sampled documents, and brings back some hundred numbers a partition.
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows = checkpointed(rows.repartition(FIT_PARTITIONS, "doc_id").sortWithinPartitions("doc_id"))
+
+    def sums(self, part, width: int) -> np.ndarray:
+        """part(batch) of every slice, added up."""
+
+        def run(batches):
+            total = np.zeros(width)
+            for batch in batches:
+                for own in slices(batch):
+                    total += part(own)
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+        held = self.rows.mapInArrow(run, "sums binary").collect()
+        return np.sum([np.frombuffer(bytes(r.sums), float) for r in held], axis=0) if held else np.zeros(width)
+
+    def mapped(self, fn, schema: str) -> DataFrame:
+        return map_batches(self.rows, fn, schema)
+
+
+def fit(rows: DataFrame, steps: int = STEPS, decay: float = 1e-3) -> Crf:
+    """Fits rows(doc_id, label, lines), then the map from documents' marginals to labels.
+
+    A document weighs the same however many lines it has, in the emissions and in the transitions, and both labels
+    weigh alike. Without both labels the score is constant. The first fit takes every line for its document's label;
+    the second takes those lines of bad documents that the first calls good for good.
+    """
+    sample = _Sample(rows)
+    width = N_FEATURES
+    counted = sample.sums(_count_documents, 4)
+    all_of, with_lines = counted[:2], counted[2:]
+    n = all_of.sum()
+    share = float(all_of[1] / n) if n else 0.5
     model = Crf(np.zeros(width), np.ones(width), np.zeros((width, 2)), np.zeros((2, 2)), 0.0, 0.0, share)
-    if share in (0.0, 1.0) or not len(labels) or len(set(labels[used])) < 2:
-        model.slope, model.shift = (0.0, 0.0) if not len(labels) else (60.0, -1.0 if share >= 0.5 else 2.0)
+    if not with_lines.all():
+        model.slope, model.shift = (0.0, 0.0) if not n else (60.0, -1.0 if share >= 0.5 else 2.0)
         return model
-    model.mean, model.scale = features.mean(0), features.std(0) + 1e-3
-    x = (features - model.mean) / model.scale
-    own = np.repeat(labels, counts).astype(int)
-    # A document counts once, however many lines it has; both labels count alike.
-    weight = np.repeat(np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) / np.maximum(counts, 1), counts)
-    weight *= len(weight) / weight.sum()
-    for _ in range(2):
-        _ascend(model, x, counts, own, weight, steps, rate, decay)
-        good = model.marginals(features, counts)[0][:, 1]
-        own = np.where(np.repeat(labels, counts) == 1, 1, (good > 0.9).astype(int))
-    mean = model.documents(features, counts, size)[used]
-    y = labels[used]
+    of_label = 0.5 / with_lines
+
+    def moments(batch: pa.RecordBatch) -> np.ndarray:
+        x, counts, _, labels = _chained(batch)
+        w = _line_weights(counts, labels, of_label)[:, None]
+        return np.concatenate([(w * x).sum(0), (w * x**2).sum(0)])
+
+    first = sample.sums(moments, 2 * width)
+    model.mean = first[:width]
+    model.scale = np.sqrt(np.maximum(first[width:] - model.mean**2, 0)) + 1e-3
+    for again in (False, True):
+        if again:
+            sample = _Sample(sample.mapped(_relabelled(model), "doc_id long, label int, lines binary, own binary"))
+        _ascend(model, sample, of_label, again, steps, decay)
+
+    def means(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, counts, size, labels = _chained(batch)
+        there = counts > 0
+        return pa.RecordBatch.from_pydict({"mean": model.documents(x, counts, size)[there], "label": labels[there]})
+
+    held = sample.mapped(means, "mean double, label int").collect()  # two numbers for each sampled document
+    mean, y = np.array([r["mean"] for r in held]), np.array([r["label"] for r in held])
     # A logistic map: 0.5 falls where the fewest documents are wrong, both labels alike, in the widest gap there.
-    order = np.argsort(mean, kind="stable")
+    order = np.lexsort((y, mean))
     mean, y = np.append(mean[order], 1.0 + 1e-6), y[order]
     wrong = np.cumsum(y == 1) / (y == 1).sum() + 1 - np.cumsum(y == 0) / (y == 0).sum()
     gap = np.diff(mean)
@@ -211,50 +271,110 @@ def fit(features: np.ndarray, counts: np.ndarray, size: np.ndarray, labels: np.n
     return model
 
 
-def _ascend(model: Crf, x, counts, own, weight, steps, rate, decay) -> None:
-    """Adam on the weighted conditional log likelihood."""
+def _count_documents(batch: pa.RecordBatch) -> np.ndarray:
+    """Documents of label 0 and 1, and of those, the ones with lines."""
+    label, filled = batch.column("label").to_numpy(), np.array([len(v) > 0 for v in batch.column("lines").to_pylist()])
+    return np.concatenate([np.bincount(label, minlength=2), np.bincount(label[filled], minlength=2)]).astype(float)
+
+
+def _line_weights(counts: np.ndarray, labels: np.ndarray, of_label: np.ndarray) -> np.ndarray:
+    return np.repeat(of_label[labels] / np.maximum(counts, 1), counts)
+
+
+def _relabelled(model: Crf):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, counts, _, labels = _chained(batch)
+        good = model.marginals(x, counts)[0][:, 1] > 0.9
+        own = np.where(np.repeat(labels, counts) == 1, 1, good).astype(np.int8)
+        packed = [o.tobytes() for o in np.split(own, np.cumsum(counts)[:-1])]
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "lines": batch.column("lines"), "own": pa.array(packed, pa.binary())})
+
+    return run
+
+
+def objective(x, counts, own, weight, emission, transition) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted log likelihood of the lines' labels, and its gradients by the emission and transition weights.
+
+    weight is a line's, the same for all lines of a document: it weighs the document's whole chain.
+    """
+    if not len(x):
+        return 0.0, np.zeros_like(emission), np.zeros((2, 2))
+    potentials = x @ emission
+    marginal, pair, inner, logz = chain(potentials, counts, transition)
+    ends = np.cumsum(counts)
     truth = np.eye(2)[own]
-    state = [np.zeros_like(model.emission), np.zeros_like(model.emission), np.zeros((2, 2)), np.zeros((2, 2))]
-    n = len(x)
-    for step in range(1, steps + 1):
-        marginal, pair, inner = chain(x @ model.emission, counts, model.transition)
-        emission = x.T @ ((truth - marginal) * weight[:, None]) / n - decay * model.emission
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (own[inner - 1], own[inner]), 1)
-        transition = (seen - pair) / n - decay * model.transition
-        for value, gradient, m, v in ((model.emission, emission, state[0], state[1]), (model.transition, transition, state[2], state[3])):
-            m *= 0.9
-            m += 0.1 * gradient
-            v *= 0.99
-            v += 0.01 * gradient**2
-            value += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-
-
-def fitted_lines(n: int) -> np.ndarray:
-    """Places of the lines that a document of n lines is fitted on."""
-    if n <= MAX_FIT_LINES:
-        return np.arange(n)
-    width = MAX_FIT_LINES // FIT_RUNS
-    starts = np.linspace(0, n - width, FIT_RUNS).astype(int)
-    return np.unique((starts[:, None] + np.arange(width)[None, :]).ravel())
+    scored = potentials[np.arange(len(x)), own] * weight
+    seen, between = np.zeros((2, 2)), transition[own[inner - 1], own[inner]]
+    np.add.at(seen, (own[inner - 1], own[inner]), weight[inner])
+    value = scored.sum() + (between * weight[inner]).sum() - (logz[ends[counts > 0] - 1] * weight[ends[counts > 0] - 1]).sum()
+    return float(value), x.T @ ((truth - marginal) * weight[:, None]), seen - (pair * weight[inner][:, None, None]).sum(0)
+
+
+def _ascend(model: Crf, sample: _Sample, of_label: np.ndarray, relabelled: bool, steps: int, decay: float) -> None:
+    """Quasi-Newton steps (limited memory) on the weighted log likelihood, halved until they gain."""
+    width = len(model.mean)
+
+    def at(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        emission, transition, mean, scale = theta[:-4].reshape(width, 2), theta[-4:].reshape(2, 2), model.mean, model.scale
+
+        def part(batch: pa.RecordBatch) -> np.ndarray:
+            x, counts, _, labels = _chained(batch)
+            own = np.frombuffer(b"".join(batch.column("own").to_pylist()), np.int8).astype(int) if relabelled else np.repeat(labels, counts)
+            value, e, t = objective((x - mean) / scale, counts, own, _line_weights(counts, labels, of_label), emission, transition)
+            return np.concatenate([[value], e.ravel(), t.ravel()])
+
+        out = sample.sums(part, 1 + len(theta))
+        return -out[0] + decay / 2 * float(theta @ theta), -out[1:] + decay * theta
+
+    theta = np.concatenate([model.emission.ravel(), model.transition.ravel()])
+    value, slope = at(theta)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        step = -_curved(slope, pairs)
+        size = 1.0 if pairs else 1 / max(1.0, float(np.linalg.norm(slope)))
+        while True:
+            now, turned = at(theta + size * step)
+            if now <= value + 1e-4 * size * float(slope @ step) or size < 1e-4:
+                break
+            size /= 2
+        if now >= value:
+            break
+        s, y = size * step, turned - slope
+        if float(s @ y) > 1e-12:
+            pairs = [*pairs[-MEMORY + 1 :], (s, y)]
+        gained = value - now
+        theta, value, slope = theta + s, now, turned
+        if gained < 5e-3 * abs(value):
+            break
+    model.emission, model.transition = theta[:-4].reshape(width, 2), theta[-4:].reshape(2, 2)
+
+
+def _curved(slope: np.ndarray, pairs) -> np.ndarray:
+    """The inverse curvature that the remembered pairs tell, times the slope (two loops)."""
+    out, kept = slope.copy(), []
+    for s, y in reversed(pairs):
+        a = float(s @ out) / float(s @ y)
+        kept.append(a)
+        out -= a * y
+    if pairs:
+        s, y = pairs[-1]
+        out *= float(s @ y) / float(y @ y)
+    for (s, y), a in zip(pairs, reversed(kept), strict=True):
+        out += (a - float(y @ out) / float(s @ y)) * s
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS) -> Crf:
-    """Fits on the bounded sample; line features, not texts, reach the driver."""
+    """Fits on every line of the bounded sample; neither texts nor features leave the executors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         packed: list[bytes] = []
         for text in as_bytes(batch.column("text")):
             features, _, size = line_features([text or b""])
-            rows = np.concatenate([features, size[:, None]], 1)[fitted_lines(len(features))]
-            packed.append(rows.astype(np.float32).tobytes())
+            packed.append(np.concatenate([features, size[:, None]], 1).astype(np.float32).tobytes())
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "lines": pa.array(packed, pa.binary())})
 
-    rows = map_batches(sample(docs, labels, "quality", MODULUS, HELD, limit), run, "doc_id long, label int, lines binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.lines)))
-    held = [np.frombuffer(bytes(r.lines), np.float32).reshape(-1, N_FEATURES + 1) for r in rows]
-    flat = np.concatenate(held) if held else np.zeros((0, N_FEATURES + 1), np.float32)
-    return fit(flat[:, :-1], np.array([len(h) for h in held], np.int64), flat[:, -1].astype(float), np.array([r.label for r in rows], int))
+    return fit(map_batches(sample(docs, labels, "quality", MODULUS, HELD, limit), run, "doc_id long, label int, lines binary"))
 
 
 def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
