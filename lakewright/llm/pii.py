@@ -2,17 +2,20 @@
 
 Validated values are permuted under a key inside the set of valid values of their format: a card number
 stays a number that passes Luhn's test, a date stays a date written the same way. The permutation depends
-on the kind and the value, not on document, place or separators, so equal values stay linked everywhere.
+on the kind and the value, not on document, place or separators, so equal values stay linked everywhere, no
+two values share a pseudonym, and who holds the key can take every pseudonym back.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import functools
 import hashlib
 import math
 import re
 import string
+from array import array
 from collections import Counter
 from collections.abc import Callable
 
@@ -20,10 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, slices
 
-#: For tests and the registered query. Real runs pass a secret of their own.
-DEMO_KEY = b"lakewright demonstration key"
 ROUNDS = 10
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date", "secret")
 
@@ -81,7 +82,9 @@ def _classes(text: str) -> list[str]:
 class Pseudonymizer:
     """Finds the values of a text and puts their pseudonyms in their places."""
 
-    def __init__(self, key: bytes = DEMO_KEY, kinds: tuple[str, ...] = KINDS, inverse: bool = False):
+    def __init__(self, key: bytes, kinds: tuple[str, ...] = KINDS, inverse: bool = False):
+        if not key:
+            raise ValueError("pseudonyms need a secret key")
         self.key, self.inverse = key, inverse
         self.finders = [f for f in FINDERS if f[0] in kinds]
         self._permutation = functools.lru_cache(4096)(lambda tweak, size: Feistel(key, tweak, size))
@@ -90,23 +93,27 @@ class Pseudonymizer:
         f = self._permutation(tweak, size)
         return f.inverse(x) if self.inverse else f(x)
 
-    def mixed(self, tweak: str, text: str, alphabets: list[str]) -> str:
-        """text with each character permuted, all together, inside its alphabet."""
+    def mixed(self, tweak: str, text: str, alphabets: list[str], fits: Callable[[str], bool] = lambda new: True) -> str:
+        """text with each character permuted, all together, inside its alphabet; on and on until the new text fits, as the old does."""
         size, x = 1, 0
         for c, a in zip(text, alphabets, strict=True):
             if a:
                 size, x = size * len(a), x * len(a) + a.index(c)
-        x, out = self.permute(f"{tweak}:{size}", x, size), []
-        for c, a in zip(reversed(text), reversed(alphabets), strict=True):
-            if a:
-                x, r = divmod(x, len(a))
-                c = a[r]
-            out.append(c)
-        return "".join(reversed(out))
+        while True:
+            left, out = self.permute(f"{tweak}:{size}", x, size), []
+            x = left
+            for c, a in zip(reversed(text), reversed(alphabets), strict=True):
+                if a:
+                    left, r = divmod(left, len(a))
+                    c = a[r]
+                out.append(c)
+            if fits(new := "".join(reversed(out))):
+                return new
 
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym) of the values, in order; where two overlap, the kind named first holds."""
         found: list[tuple[int, int, str, str]] = []
+        taken = bytearray()
         digits, lower = _DIGIT.search(text), text.lower()
         for kind, need, pattern, replace in self.finders:
             if kind != "email" and kind != "secret" and not digits or need is not None and need not in text:
@@ -114,10 +121,12 @@ class Pseudonymizer:
             if kind == "secret" and not (digits and "AKIA" in text or any(k in lower for k in _SECRET_WORDS)):
                 continue
             for m in pattern.finditer(text):
-                if any(m.start() < e and s < m.end() for s, e, _, _ in found):
+                if taken and any(taken[m.start() : m.end()]):
                     continue
                 if (new := replace(self, m)) is not None:
                     found.append((m.start(), m.end(), kind, new))
+                    taken = taken or bytearray(len(text))
+                    taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
         return sorted(found)
 
     def __call__(self, text: str) -> tuple[str, Counter]:
@@ -146,7 +155,7 @@ def _card(p: Pseudonymizer, m: re.Match) -> str | None:
     if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
         return None
     # The first digit names the network: it stays.
-    body = digits[0] + p.mixed("card" + digits[0], digits[1:-1], [string.digits] * (len(digits) - 2))
+    body = digits[0] + p.mixed("card" + digits[0], digits[1:-1], [string.digits] * (len(digits) - 2), lambda new: (digits[0] + new).strip("0") != "")
     return _refill(m.group(), body + luhn_digit(body))
 
 
@@ -165,23 +174,23 @@ def _ssn(p: Pseudonymizer, m: re.Match) -> str | None:
     return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+def _national(digits: str) -> bool:
+    """Ten digits of the North American plan, with or without its 1."""
+    return len(digits) in (10, 11) and digits[:-10] in ("", "1") and digits[-10] not in "01" and digits[-7] not in "01"
+
+
 def _phone(p: Pseudonymizer, m: re.Match) -> str | None:
     digits = re.sub("[^0-9]", "", m.group())
     plus = m.group().startswith("+")
-    if not plus or digits[0] == "1":
-        prefix, local = digits[:-10], digits[-10:]
-        if len(digits) not in (10, 11) or prefix not in ("", "1") or local[0] in "01" or local[3] in "01":
-            return None if not plus else _phone_abroad(p, m.group(), digits)
+    if (not plus or digits[0] == "1") and _national(digits):
         high = string.digits[2:]
-        new = p.mixed("nanp", local, [high, *[string.digits] * 2, high, *[string.digits] * 6])
-        return _refill(m.group(), prefix + new)
-    return _phone_abroad(p, m.group(), digits)
-
-
-def _phone_abroad(p: Pseudonymizer, shape: str, digits: str) -> str | None:
-    if not 8 <= len(digits) <= 15:
+        new = p.mixed("nanp", digits[-10:], [high, *[string.digits] * 2, high, *[string.digits] * 6])
+        return _refill(m.group(), digits[:-10] + new)
+    if not plus or not 8 <= len(digits) <= 15:
         return None
-    return _refill(shape, digits[:2] + p.mixed("phone" + digits[:2], digits[2:], [string.digits] * (len(digits) - 2)))
+    # Other numbers after a plus keep two digits, and none becomes one of that plan.
+    abroad = lambda new: digits[0] != "1" or not _national(digits[:2] + new)
+    return _refill(m.group(), digits[:2] + p.mixed("phone" + digits[:2], digits[2:], [string.digits] * (len(digits) - 2), abroad))
 
 
 def _ip(p: Pseudonymizer, m: re.Match) -> str | None:
@@ -206,24 +215,36 @@ def _iban(p: Pseudonymizer, m: re.Match) -> str | None:
     return _refill(m.group(), country + _iban_check(country, new) + new)
 
 
+@functools.lru_cache(64)
+def _days(low: int, month_width: int, day_width: int, late: bool) -> array:
+    """Ordinals of the days of 200 years that can be written so: one digit holds 1 to 9; late: days above the twelfth."""
+    high = min(9999, low + 199) if low > 1 else 99
+    first, last = datetime.date(low, 1, 1).toordinal(), datetime.date(high, 12, 31).toordinal()
+    each = map(datetime.date.fromordinal, range(first, last + 1))
+    return array("i", [d.toordinal() for d in each if (month_width == 2 or d.month < 10) and (day_width == 2 or d.day < 10) and (not late or d.day > 12)])
+
+
 def _date(p: Pseudonymizer, m: re.Match) -> str | None:
-    text = m.group()
+    """Year, month and day, or day, month and year; month, day and year where the middle can be no month.
+
+    A date is permuted among the days of the same 200 years that its form can say: as many digits for the month and
+    the day, and for m/d/y, days above the twelfth. So it is read as the same form again. The forms of y-m-d and
+    d/m/y share a permutation: a day is linked across them.
+    """
     sep = m["s1"] or m["s2"]
-    parts = text.split(sep)
-    orders = [(0, 1, 2)] if m["s1"] else [(2, 1, 0), (2, 0, 1)]  # y-m-d; else d/m/y, then m/d/y
-    for y, mo, d in orders:
+    parts = m.group().split(sep)
+    for y, mo, d in [(0, 1, 2)] if m["s1"] else [(2, 1, 0), (2, 0, 1)]:
         try:
             day = datetime.date(int(parts[y]), int(parts[mo]), int(parts[d]))
         except ValueError:
             continue
-        # Within the same 200 years, so the pseudonym stays a plausible date.
+        late = (y, mo) == (2, 0)
         low = max(1, (day.year - 100) // 200 * 200 + 100)
-        high = min(9999, (low - 100) // 200 * 200 + 299) if low > 1 else 99
-        first, last = datetime.date(low, 1, 1).toordinal(), datetime.date(high, 12, 31).toordinal()
-        new = datetime.date.fromordinal(first + p.permute(f"date{low}", day.toordinal() - first, last - first + 1))
+        form = (low, len(parts[mo]), len(parts[d]), late)
+        days = _days(*form)
+        new = datetime.date.fromordinal(days[p.permute("date" + "-".join(map(str, form)), bisect.bisect_left(days, day.toordinal()), len(days))])
         values = {y: new.year, mo: new.month, d: new.day}
-        # A day over 12 can't stand where a reader takes a month: d/m/y and m/d/y keep their own order.
-        return sep.join(str(values[i]).zfill(len(parts[i]) if i == y or parts[i][0] == "0" or len(parts[i]) == 2 else 1) for i in range(3))
+        return sep.join(str(values[i]).zfill(len(parts[i])) for i in range(3))
     return None
 
 
@@ -234,7 +255,7 @@ def _secret(p: Pseudonymizer, m: re.Match) -> str | None:
     elif re.fullmatch("[0-9a-f]+", value):
         new = p.mixed("hex", value, [string.digits + "abcdef"] * len(value))
     else:
-        new = p.mixed("secret", value, _classes(value))
+        new = p.mixed("secret", value, _classes(value), lambda new: re.fullmatch("[0-9a-f]+", new) is None)
     at = m.start("aws") if m["aws"] else m.start("value")
     return m.group()[: at - m.start()] + new + m.group()[at - m.start() + len(value) :]
 
@@ -255,24 +276,26 @@ FINDERS: list[tuple[str, str | None, re.Pattern, Callable[[Pseudonymizer, re.Mat
 ]
 
 
-def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, kinds: tuple[str, ...] = KINDS, text: str = "text") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: bytes, kinds: tuple[str, ...] = KINDS, text: str = "text") -> DataFrame:
     """docs with the pseudonyms in the text column; other columns, rows and their order within files stay.
 
-    Null texts stay null; texts without values stay as they are, byte for byte. Map-only: nothing is
-    shuffled, and a task holds one Arrow batch.
+    Null texts stay null; empty texts and texts without values stay as they are, byte for byte. Very long texts are
+    read whole. Repeated rows and rows without a doc_id each keep their row. No rows: none. Map-only: nothing is
+    shuffled. The key is the caller's secret; without it there are no pseudonyms (ValueError).
     """
 
     def run(batches):
         swap = Pseudonymizer(key, kinds)
-        for batch in batches:
-            column = batch.schema.get_field_index(text)
-            new = [None if t is None else swap(t)[0] for t in batch.column(column).to_pylist()]
-            yield batch.set_column(column, batch.schema.field(column), pa.array(new, batch.schema.field(column).type))
+        for part in (p for batch in batches for p in slices(batch)):
+            column = part.schema.get_field_index(text)
+            new = [None if t is None else swap(t)[0] for t in part.column(column).to_pylist()]
+            yield part.set_column(column, part.schema.field(column), pa.array(new, part.schema.field(column).type))
 
+    Pseudonymizer(key, kinds)
     return docs.mapInArrow(run, docs.schema)
 
 
-def report(docs: DataFrame, key: bytes = DEMO_KEY, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+def report(docs: DataFrame, key: bytes, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """doc_id, n_values, kinds (as card:2,ip:1; sorted), text (pseudonymised) of every whole document.
 
     Null texts give null text, 0 and ''. Repeated rows and null doc_ids keep their rows.

@@ -29,8 +29,13 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_read(spark, sf_dir, "embeddings"))
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The secret of ``spark.lakewright.pseudonym.key``; for the invented tables, where none is set, a public one."""
+    return spark.conf.get("spark.lakewright.pseudonym.key", "lakewright demonstration key").encode()
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(_read(spark, sf_dir, "documents"))
+    return pii.report(_read(spark, sf_dir, "documents"), pseudonym_key(spark))
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:

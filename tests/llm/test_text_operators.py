@@ -384,4 +384,4 @@ def test_pseudonyms_in_documents(docs_of):
     assert got[len(ODD)].text.split()[-1] == got[len(ODD) + 1].text.split()[-1]
     report = {r.doc_id: r for r in pii.report(docs_of(texts), b"key").collect()}
     assert report[len(ODD)].kinds == "card:1,email:1" and report[0].text is None and report[0].n_values == 0
-    assert pii.report(docs_of([])).count() == 0
+    assert pii.report(docs_of([]), b"key").count() == 0
