@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakewright.llm import bpe, decontam, pii, simhash, toxicity
 from lakewright.llm.common import written
+from lakewright.llm.queries import pseudonym_key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values become pseudonyms of their format."""
-    return pii.pseudonymize(docs)
+    return pii.pseudonymize(docs, pseudonym_key(spark))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
