@@ -1,16 +1,16 @@
 """Exact top-k inner-product search with a three-phase uniform threshold.
 
-A vector's components are dealt to LISTS lists (slices of the dimensions). A candidate's local score in a
-list is the inner product over that slice; its score is their sum. Queries and candidates meet in blocks:
-every block of queries with every block of candidates, once each, found by an equal block number.
-
-Phase 1  every block gathers, for each query, the k best of every list and their whole scores. The k-th best
-         of those over all blocks is a lower bound on the k-th score: the cutoff.
-Phase 2  the cutoff goes back out with the query blocks (one long for a query). A candidate whose score
-         reaches it has a local score of at least cutoff / LISTS in one list: every block collects those
-         entries and drops the ones whose known parts plus the bounds of the others fall short.
-Phase 3  the survivors' missing local scores are resolved exactly, and each block sends its k best
-         (of equal scores the smaller vec_ids) at or above the cutoff to the final ranking.
+A vector's components are dealt to LISTS lists (slices of the dimensions). A candidate's local score in a list is the
+inner product over that slice; its score is their sum. Queries and candidates meet in blocks: every block of queries
+with every block of candidates, once, found by an equal block number.
+
+Phase 1  every block gathers, for each query, the best entries of every list and completes their scores; its k best go
+         out, and with them the block's bound: the sum of the lists' last gathered scores, which no candidate that is
+         not in a list can exceed. The k-th best score over all blocks is a safe cutoff.
+Phase 2  blocks whose bound is below a query's cutoff are done with that query. To the others the cutoff goes back out:
+         a candidate that reaches it has a local score of at least cutoff / LISTS in one list. Those entries are
+         collected, and the ones whose known parts and that threshold for each missing one fall short are dropped.
+Phase 3  the survivors' missing local scores are resolved exactly; who reaches the cutoff goes to the final ranking.
 """
 
 from __future__ import annotations
@@ -23,11 +23,18 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 LISTS = 2
-#: Rows of a query block and of a candidate block: they bound a task's memory at any table size.
-QUERY_BLOCK = 4096
-CANDIDATE_BLOCK = 4096
-#: Queries of a block that are scored at once.
-STRIP = 128
+#: Bytes of components in a block of queries and in a block of candidates: with the scores of a strip they bound a
+#: task's memory at any table size. A vector is shuffled once for each block of queries, an entry once for each block
+#: of candidates, so blocks are as large as memory allows.
+QUERY_BYTES = 16 << 20
+CANDIDATE_BYTES = 64 << 20
+#: Rows of a block of candidates, at least, where a table is cut finer than memory asks.
+LEAST_ROWS = 4096
+#: Entries of a list that a block gathers: this many times k, or the block's rows over this, whichever is more.
+DEPTH = 8
+DEPTH_SHARE = 32
+#: Local scores that are held at once, of all lists together.
+STRIP_SCORES = 1 << 24
 _LONG = (1 << 63) - 1
 
 
@@ -55,14 +62,6 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate(flat).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best scores; of equal scores the smaller ids."""
-    places = np.arange(len(scores))
-    if len(scores) > k:
-        places = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-    return places[np.lexsort((ids[places], -scores[places]))[:k]]
-
-
 def _exact(q: np.ndarray, c: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int):
     """For components so large that doubles would round: whole Python integers, held to the range of a long."""
     rows = [[int(x) for x in r] for r in c]
@@ -73,97 +72,143 @@ def _exact(q: np.ndarray, c: np.ndarray, query_ids: np.ndarray, ids: np.ndarray,
             yield query_id, vec_id, min(max(-score, -_LONG - 1), _LONG)
 
 
-def _block_scorer(phase: int, k: int):
+def _local(q: np.ndarray, c: np.ndarray, own_ids: np.ndarray, ids: np.ndarray, kind) -> list[np.ndarray]:
+    """Local scores of every query and candidate in every list; a query's own row is out of reach."""
+    dims = q.shape[1]
+    edges = [dims * i // LISTS for i in range(LISTS + 1)]
+    local = [q[:, a:b].astype(kind) @ c[:, a:b].astype(kind).T for a, b in zip(edges, edges[1:], strict=False)]
+    order = np.argsort(ids, kind="stable")
+    low, high = np.searchsorted(ids[order], own_ids, side="left"), np.searchsorted(ids[order], own_ids, side="right")
+    for i in np.flatnonzero(low < high):
+        for m in local:
+            m[i, order[low[i] : high[i]]] = -np.inf
+    return local
+
+
+def gather(local: list[np.ndarray], depth: int):
+    """Phase 1: (places, scores, bound) of each query's gathered entries, completed; entries that two lists hold count once.
+
+    bound: no other candidate's score is higher (minus infinity if there is no other).
+    """
+    n_queries, n = local[0].shape
+    if n <= depth:
+        return np.broadcast_to(np.arange(n), (n_queries, n)), sum(m.astype(np.float64) for m in local), np.full(n_queries, -np.inf)
+    tops = [np.argpartition(m, n - depth, axis=1)[:, n - depth :] for m in local]
+    bound = sum(np.take_along_axis(m, t[:, :1], 1)[:, 0].astype(np.float64) for m, t in zip(local, tops, strict=True))
+    seen = np.sort(np.concatenate(tops, axis=1), axis=1)
+    total = sum(np.take_along_axis(m, seen, 1).astype(np.float64) for m in local)
+    total[:, 1:][seen[:, 1:] == seen[:, :-1]] = -np.inf
+    return seen, total, bound
+
+
+def resolve(local: list[np.ndarray], cutoff: np.ndarray):
+    """Phases 2 and 3: (query, place, score) of every candidate that reaches its query's cutoff; how many were resolved.
+
+    Collected are the entries of a local score of at least cutoff / LISTS. A missing local score is below that, so
+    known parts plus that much for each missing one bound the score; only where this reaches the cutoff are the
+    missing scores looked up.
+    """
+    share = (cutoff / LISTS)[:, None]
+    known, missing = np.zeros(local[0].shape), np.zeros(local[0].shape, np.int8)
+    for m in local:
+        held = m >= share
+        known[held] += m[held]
+        missing += ~held
+    r, at = np.nonzero((missing < LISTS) & (known + missing * share >= cutoff[:, None]))
+    total = sum(m[r, at].astype(np.float64) for m in local)
+    resolved = int((missing[r, at] > 0).sum())
+    enough = (total >= cutoff[r]) & np.isfinite(total)
+    return r[enough], at[enough], total[enough], resolved
+
+
+def _block_scorer(phase: int, k: int, depth: int, share: int):
     """The work of phase 1, or of phases 2 and 3, on one block of queries and one block of candidates."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _OUT.empty_table()
+        cb = left.column("cb")[0].as_py()
         query_ids, ids = left.column("query_id").to_numpy(), right.column("vec_id").to_numpy()
         q, c = _matrix(left.column("v")), _matrix(right.column("v"))
-        dims = q.shape[1]
-        bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, dims)
+        bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
         if bound >= 1 << 53:
-            rows = list(_exact(q, c, query_ids, ids, k))
-            return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], schema=_OUT) if rows else _OUT.empty_table()
+            # Each block's exact k best: with no bound sent, its queries are done.
+            rows = list(_exact(q, c, query_ids, ids, k)) if phase == 1 else []
+            return _entries(cb, *zip(*rows)) if rows else _OUT.empty_table()
         # Whole numbers below 2**24 add exactly as floats, below 2**53 as doubles.
         kind = np.float32 if bound < 1 << 24 else np.float64
-        edges = [dims * i // LISTS for i in range(LISTS + 1)]
-        parts = [(q[:, a:b].astype(kind), c[:, a:b].astype(kind).T) for a, b in zip(edges, edges[1:], strict=False)]
-        cutoff = None if phase == 1 else left.column("cutoff").to_numpy(zero_copy_only=False).astype(np.float64)
+        strip = max(1, STRIP_SCORES // (LISTS * len(ids)))
         out = []
-        for at in range(0, len(query_ids), STRIP):
-            own_ids = query_ids[at : at + STRIP]
-            local = [a[at : at + STRIP] @ b for a, b in parts]
-            for i, j in zip(*np.nonzero(own_ids[:, None] == ids[None, :]), strict=True):
-                for m in local:
-                    m[i, j] = -np.inf
-            if phase == 1:
-                if len(ids) > k:
-                    tops = [np.argpartition(m, len(ids) - k, axis=1)[:, len(ids) - k :] for m in local]
-                    seen = np.sort(np.concatenate(tops, axis=1), axis=1)
-                    again = np.concatenate((np.zeros((len(seen), 1), bool), seen[:, 1:] == seen[:, :-1]), axis=1)
-                else:
-                    seen = np.broadcast_to(np.arange(len(ids)), (len(own_ids), len(ids)))
-                    again = np.zeros(seen.shape, bool)
-                total = sum(np.take_along_axis(m, seen, 1).astype(np.float64) for m in local)
-                total[again] = -np.inf
-                r, at_v, total = np.repeat(np.arange(len(own_ids)), seen.shape[1]), seen.ravel(), total.ravel()
-            else:
-                cut = cutoff[at : at + STRIP]
-                cut = np.where(np.isnan(cut), -np.inf, cut)
-                share = np.ceil(cut / LISTS).astype(kind)[:, None]
-                reach = local[0] >= share
-                for m in local[1:]:
-                    reach |= m >= share
-                r, at_v = np.nonzero(reach)
-                total = sum(m[r, at_v].astype(np.float64) for m in local)
-                enough = total >= cut[r]
-                r, at_v, total = r[enough], at_v[enough], total[enough]
+        for at in range(0, len(query_ids), strip):
+            own_ids = query_ids[at : at + strip]
+            local = _local(q[at : at + strip], c, own_ids, ids, kind)
+            if phase == 2:
+                r, places, total, _ = resolve(local, left.column("cutoff").to_numpy()[at : at + strip].astype(np.float64))
+                order = np.lexsort((ids[places], -total, r))
+                r, places, total = r[order], places[order], total[order]
+                kept = np.arange(len(r)) - np.searchsorted(r, r, side="left") < k
+                out.append(_entries(cb, own_ids[r[kept]], ids[places[kept]], total[kept]))
+                continue
+            places, total, limit = gather(local, max(1, depth * k, len(ids) // share))
+            order = np.lexsort((ids[places], -total), axis=-1)[:, :k]
+            best, total = ids[np.take_along_axis(places, order, 1)], np.take_along_axis(total, order, 1)
             there = np.isfinite(total)
-            r, at_v, total = r[there], at_v[there], total[there]
-            bounds = np.searchsorted(r, np.arange(len(own_ids) + 1))
-            for i, query_id in enumerate(own_ids):
-                a, b = bounds[i], bounds[i + 1]
-                best = a + _best(total[a:b], ids[at_v[a:b]], k)
-                out.append((np.full(len(best), query_id), ids[at_v[best]], total[best].astype(np.int64)))
-        return pa.Table.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], schema=_OUT)
+            out.append(_entries(cb, np.repeat(own_ids, there.sum(1)), best[there], total[there]))
+            more = np.isfinite(limit)
+            out.append(_entries(cb, own_ids[more], None, None, limit[more]))
+        return pa.concat_tables(out)
 
     return run
 
 
-_OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-_DDL = "query_id long, vec_id long, score long"
+def _entries(cb: int, query_ids, ids=None, scores=None, bounds=None) -> pa.Table:
+    n = len(query_ids)
+    column = lambda values, kind: pa.nulls(n, kind) if values is None else pa.array(np.asarray(values).astype(kind.to_pandas_dtype()), kind)
+    return pa.Table.from_arrays([column(query_ids, pa.int64()), column(ids, pa.int64()), column(scores, pa.int64()), pa.array(np.full(n, cb, np.int32)), column(bounds, pa.float64())], schema=_OUT)
+
+
+_OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("cb", pa.int32()), ("bound", pa.float64())])
+_DDL = "query_id long, vec_id long, score long, cb int, bound double"
 
 
 def search(
     vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, key: str = "vec_id", value: str = "embedding",
-    query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK,
+    query_bytes: int = QUERY_BYTES, candidate_bytes: int = CANDIDATE_BYTES, depth: int = DEPTH, share: int = DEPTH_SHARE,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest scores (all, if fewer), ties to smaller vec_id.
 
     Queries are the rows whose id is divisible by ``every``; candidates every row whose id isn't the query's.
     Only vectors of as many components meet. Rows that repeat a query's id are one query (its smallest
-    vector); rows that repeat a candidate are candidates of their own. Scores beyond a long are held to its
-    range. Other columns are dropped. Empty tables give no rows.
+    vector); rows that repeat a candidate are candidates of their own, dealt to blocks row by row. Scores beyond a
+    long are held to its range. Other columns are dropped. Empty tables give no rows.
     """
-    points = checkpointed(quantized(vectors, scale, key, value))
+    marked = quantized(vectors, scale, key, value).withColumn("row", F.xxhash64(F.monotonically_increasing_id()))
+    points = checkpointed(marked)  # row numbers hold from here on
     queries = points.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
-    n = points.count()
-    query_blocks = max(1, -(-n // (every * query_block)))
-    candidate_blocks = max(1, -(-n // candidate_block))
+    whole = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    width = 8 * max(1, whole[1] or 1)
+    query_blocks = max(1, -(-whole[0] * width // (every * query_bytes)))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    spread = min(-(-cores // query_blocks), -(-whole[0] // LEAST_ROWS))  # a table of few blocks is cut finer, a task for each core
+    candidate_blocks = max(1, spread, -(-whole[0] * width // candidate_bytes))
     numbers = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    part = lambda column, count: F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
+    part = lambda hashed, count: F.pmod(hashed, F.lit(count)).cast("int")
     keys = ["dims", "qb", "cb"]
-    right = points.select("vec_id", "v", F.size("v").alias("dims"), part("vec_id", candidate_blocks).alias("cb"), numbers(query_blocks).alias("qb"))
-
-    def meet(left: DataFrame, phase: int) -> DataFrame:
-        left = left.select("*", F.size("v").alias("dims"), part("query_id", query_blocks).alias("qb"), numbers(candidate_blocks).alias("cb"))
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_scorer(phase, k), _DDL)
-
+    left = queries.select("*", F.size("v").alias("dims"), part(F.xxhash64("query_id"), query_blocks).alias("qb"))
+    right = points.select("vec_id", "v", F.size("v").alias("dims"), part(F.col("row"), candidate_blocks).alias("cb"), numbers(query_blocks).alias("qb"))
+    met = lambda a, b, phase: a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(_block_scorer(phase, k, depth, share), _DDL)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = lambda rows: rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    # Fewer than k rows seen: no cutoff yet, all scores qualify.
-    cutoffs = ranked(meet(queries, 1)).where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
-    sent = checkpointed(queries.join(cutoffs, "query_id", "left"))
-    return ranked(meet(sent, 2)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    first = checkpointed(met(left.select("*", numbers(candidate_blocks).alias("cb")), right, 1))
+    entries = first.where("bound IS NULL").drop("bound")
+    # A query of fewer than k entries has no cutoff: every score qualifies in the blocks that hold more than they sent.
+    cutoffs = ranked(entries).where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
+    cutoff = F.coalesce("cutoff", F.lit(-_LONG - 1))
+    open_ = first.where("bound IS NOT NULL").join(cutoffs, "query_id", "left").withColumn("cutoff", cutoff).where("bound >= cutoff")
+    open_ = checkpointed(open_.select("query_id", "cb", "cutoff"))
+    if not open_.isEmpty():
+        again = left.join(open_, "query_id")
+        resolved = met(again, right.join(again.select(*keys).distinct(), keys, "left_semi"), 2)
+        entries = entries.join(open_, ["query_id", "cb"], "left_anti").unionByName(resolved.drop("bound"))
+    return ranked(entries).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

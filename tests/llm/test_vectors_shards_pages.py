@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 from math import floor, inf, nan
 
+import numpy as np
 import pytest
 
 from lakewright.llm import extract, shard, topk
@@ -28,16 +29,49 @@ def slow_search(rows, k=20):
                 yield q, rank, i, -s
 
 
-@pytest.mark.parametrize("blocks", [(4096, 4096), (2, 17)])
-def test_search_is_brute_force(spark, blocks):
+@pytest.mark.parametrize("blocks", [(1 << 20, 1 << 20), (200, 1500)])
+@pytest.mark.parametrize("lists", [(topk.DEPTH, topk.DEPTH_SHARE), (0, 1 << 30)])
+def test_search_is_brute_force(spark, blocks, lists):
+    """With lists of one entry phase 1 ends few queries, and phases 2 and 3 have to find the rest."""
     random.seed(6)
     rows = [(i, [random.gauss(0, 1) for _ in range(9)]) for i in range(150)]
     rows += [(200 + i, [1.0] * 9) for i in range(60)]  # ties by the dozen
     rows += [(300, None), (301, [None] * 9), (320, [nan] * 9), (340, [inf] * 9), (None, [1.0] * 9), (360, [0.5, -2.0]), (361, [1.5, 1.0]), (380, []), (381, [])]
-    got = [tuple(r) for r in topk.search(vectors_of(spark, rows), query_block=blocks[0], candidate_block=blocks[1]).collect()]
+    got = [tuple(r) for r in topk.search(vectors_of(spark, rows), query_bytes=blocks[0], candidate_bytes=blocks[1], depth=lists[0], share=lists[1]).collect()]
     assert sorted(got) == sorted(slow_search(rows))
 
 
+def test_a_block_whose_bound_falls_short_holds_nothing_better():
+    rng = np.random.default_rng(9)
+    local = [rng.integers(-50, 50, (40, 600)).astype(np.float32) for _ in range(topk.LISTS)]
+    whole = sum(m.astype(float) for m in local)
+    places, total, bound = topk.gather(local, 30)
+    for i in range(40):
+        rest = np.setdiff1d(np.arange(600), places[i])
+        assert whole[i, rest].max() <= bound[i]
+        there = np.isfinite(total[i])
+        assert np.array_equal(total[i][there], whole[i, places[i][there]]) and len(set(places[i][there])) == there.sum() == len(set(places[i]))
+
+
+def test_few_scores_are_left_to_resolve():
+    rng = np.random.default_rng(10)
+    local = [np.rint(rng.normal(0, 40, (50, 4_000))).astype(np.float32) for _ in range(topk.LISTS)]
+    whole = sum(m.astype(float) for m in local)
+    cutoff = np.sort(whole, axis=1)[:, -20]
+    r, at, total, resolved = topk.resolve(local, cutoff)
+    want = {(i, j) for i, j in zip(*np.nonzero(whole >= cutoff[:, None]))}
+    assert set(zip(r.tolist(), at.tolist())) == want and np.array_equal(total, whole[r, at])
+    assert resolved < 0.05 * topk.LISTS * whole.size
+    # Lists as deep as in a search end most queries in phase 1.
+    assert np.mean(topk.gather(local, max(20 * topk.DEPTH, 4_000 // topk.DEPTH_SHARE))[2] < cutoff) > 0.5
+
+
+def test_repeated_ids_fill_no_block(spark):
+    rows = [(7, [float(i % 5)] * 4) for i in range(400)] + [(20, [1.0] * 4)]
+    got = topk.search(vectors_of(spark, rows), candidate_bytes=64 * 40).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(7, 4 * 4 * 64 * 64)] * 20
+
+
 def test_search_of_few_none_and_huge(spark):
     assert topk.search(vectors_of(spark, [])).count() == 0
     assert topk.search(vectors_of(spark, [(0, [1.0])])).count() == 0
