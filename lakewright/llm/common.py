@@ -69,6 +69,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one key that one task of a join holds; a key of more goes to as many tasks as that asks for.
+ROWS_A_TASK = 250_000
+
+
+def spread_join(rows: DataFrame, values: DataFrame, key: str, salt: F.Column, n: str = "n", per: int | None = None) -> DataFrame:
+    """rows with the columns of values, which has one row for each key and, in ``n``, how many rows have it.
+
+    A key of more than ``per`` rows is dealt to several tasks by ``salt``. Such keys, at most a ``per``-th of the rows,
+    are what is broadcast.
+    """
+    per = per or ROWS_A_TASK
+    parts = F.ceil(F.col(n) / per).cast("int")
+    hot = values.where(F.col(n) > per).select(key, parts.alias("__parts"))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__part", F.coalesce(F.pmod(salt, F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
+    copies = values.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop(n)
+    return dealt.join(copies, [key, "__part"]).drop("__part")
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df with a broadcast hint if it is counted to hold no more than ``rows``; as it is otherwise."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """batch in parts of at most SLICE_ROWS rows and SLICE_BYTES of text; a longer text is a part of its own."""
     size = np.zeros(batch.num_rows, np.int64)

@@ -1,17 +1,23 @@
-"""Benchmark decontamination: a broadcast hash set of test n-grams, scanned over training token windows."""
+"""Benchmark decontamination: a broadcast hash set of test n-grams, scanned over training token windows.
+
+A benchmark of more windows than one set holds is scanned in passes, one after another: each pass's result is written
+before the next set is built, so that driver and executors hold one set at a time, however large the benchmark is.
+"""
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, map_batches, slices, word_places, words
+from .common import as_bytes, checkpointed, map_batches, slices, word_places, words, written
 
 N_GRAM = 10
 #: Windows in one broadcast. Larger benchmarks are scanned in several passes, each over all documents.
@@ -97,11 +103,12 @@ def benchmark_windows(benchmark: DataFrame, n: int = N_GRAM, item: str = "item_i
 
 
 def window_sets(benchmark: DataFrame, n: int = N_GRAM, max_windows: int = MAX_BROADCAST_WINDOWS, item: str = "item_id", text: str = "text"):
-    """WindowSets of at most about max_windows rows each that together hold every window of the benchmark.
+    """(WindowSet, whether it is the last), of at most about max_windows rows each, that together hold every window.
 
-    The windows are counted first; each window goes to one of as many parts as the bound asks for.
+    The windows are counted first; each window goes to one of as many parts as the bound asks for. A set is built when
+    it is asked for.
     """
-    rows = benchmark_windows(benchmark, n, item, text)
+    rows = checkpointed(benchmark_windows(benchmark, n, item, text))
     total = rows.count()
     parts = max(1, -(-total * 5 // (4 * max_windows))) if total > max_windows else 1
     for part in range(parts):
@@ -111,7 +118,21 @@ def window_sets(benchmark: DataFrame, n: int = N_GRAM, max_windows: int = MAX_BR
             held = windows.setdefault(tuple(row.window.encode().split(b" ")), set())
             if row.item_id is not None:
                 held.add(row.item_id)
-        yield WindowSet(windows)
+        yield WindowSet(windows), part + 1 == parts
+
+
+def _in_passes(frame: DataFrame, sets, scan: Callable[[DataFrame, Broadcast, bool, bool], DataFrame]) -> DataFrame:
+    """scan(frame, set, first, last) for one set after another; a pass before the last is written and its set let go."""
+    context, first = frame.sparkSession.sparkContext, True
+    for one, last in sets:
+        shared = context.broadcast(one)
+        del one
+        frame = scan(frame, shared, first, last)
+        if not last:
+            frame = written(frame, "decontamination")
+            shared.destroy()
+        first = False
+    return frame
 
 
 def find_hits(
@@ -126,17 +147,10 @@ def find_hits(
     without a shuffle; a larger benchmark is scanned in passes whose arrays are concatenated in place,
     so no pass needs a join.
     """
-    context = docs.sparkSession.sparkContext
+    between = "doc_id long, text string, spans array<struct<start:int,end:int>>, items array<string>"
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    shared = [context.broadcast(s) for s in window_sets(benchmark, n, max_windows, item, item_text)]
-    if len(shared) == 1:
-        return map_batches(source, _scanner(shared[0], last=True, first=True), _HITS)
-    frame = source
-    for i, one in enumerate(shared):
-        last = i + 1 == len(shared)
-        schema = _HITS if last else "doc_id long, text string, spans array<struct<start:int,end:int>>, items array<string>"
-        frame = map_batches(frame, _scanner(one, last=last, first=i == 0), schema)
-    return frame
+    scan = lambda frame, shared, first, last: map_batches(frame, _scanner(shared, last, first), _HITS if last else between)
+    return _in_passes(source, window_sets(benchmark, n, max_windows, item, item_text), scan)
 
 
 _HITS = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
@@ -184,25 +198,21 @@ def decontaminate(
 
     Cut text runs from the first to the last hit word of a span; white space round it stays. All columns
     of docs are kept as they are. The decision is made where the row is, so nothing is joined or shuffled.
+    Null and empty texts have no words and stay; very long ones are read whole; repeated rows and rows without
+    a doc_id are each judged by themselves. No benchmark: docs as they are. No docs: none.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(remove)
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(s) for s in window_sets(benchmark, n, max_windows)]
+    sets = window_sets(benchmark, n, max_windows)
     if remove == "documents":
-        for one in shared:
-            docs = docs.mapInArrow(_dropper(one, text), docs.schema)
-        return docs
+        return _in_passes(docs, sets, lambda frame, shared, first, last: frame.mapInArrow(_dropper(shared, text), docs.schema))
     # Every pass marks words of the uncut text; the last cuts what all have marked.
     mark = "__spans"
     while mark in docs.columns:
         mark += "_"
     marked = T.StructType([*docs.schema.fields, T.StructField(mark, T.ArrayType(T.ArrayType(T.IntegerType())))])
-    frame = docs
-    for i, one in enumerate(shared):
-        last = i + 1 == len(shared)
-        frame = frame.mapInArrow(_cutter(one, text, mark, last), docs.schema if last else marked)
-    return frame
+    scan = lambda frame, shared, first, last: frame.mapInArrow(_cutter(shared, text, mark, last), docs.schema if last else marked)
+    return _in_passes(docs, sets, scan)
 
 
 def _dropper(shared, text: str):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import as_bytes, checkpointed, map_batches
+from .common import as_bytes, checkpointed, map_batches, small, spread_join
 from .components import components
 
 SHINGLE = 3
@@ -34,6 +34,8 @@ N_PIVOTS = 16
 PIVOTS = np.random.default_rng(0x51A5).integers(0, 1 << 64, N_PIVOTS, np.uint64)
 #: Rows of a bucket that are compared at once.
 STRIP = 1024
+#: Rows (an id and a hash) that keep_one broadcasts, at most; more are joined by a shuffle.
+MAX_BROADCAST_ROWS = 2_000_000
 #: Fingerprints of a bucket that one task compares, at most; larger buckets meet at points.
 MAX_BUCKET = 16_384
 
@@ -187,26 +189,54 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int
     )
 
 
-def _grouped(docs: DataFrame, key: str, text: str, blocks: int) -> DataFrame:
-    """doc_id, fp, text_hash, root (the same for a whole component), component_id of every row of docs."""
+def _grouped(docs: DataFrame, key: str, text: str, blocks: int, per: int | None = None) -> DataFrame:
+    """doc_id, fp, text_hash, component_id and kept of every row of docs.
+
+    kept: (no id, doc_id, text_hash) of the row that stays of the component, its smallest. A fingerprint of very many
+    rows, such as that of all empty texts, and a component of very many fingerprints are dealt to several tasks.
+    """
     marked = checkpointed(fingerprints(docs, key, text))
-    classes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(own).alias("first"), F.count(F.lit(1)).alias("n")))
     roots = components(links(classes.select("fp"), blocks))
-    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
+    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", "first", "n", F.coalesce("root", "fp").alias("root"))
+    joined = checkpointed(joined)
+    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("kept"), F.count(F.lit(1)).alias("fps"))
+    named = spread_join(joined, smallest, "root", F.xxhash64("fp"), "fps", per).select("fp", "n", "component_id", "kept")
+    return spread_join(marked, named, "fp", F.xxhash64("doc_id", "text_hash"), "n", per)
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int = BLOCKS) -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", blocks: int = BLOCKS, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """docs with one row of each near-duplicate group: that of the smallest doc_id. Columns stay as they are.
 
-    Where that doc_id repeats in the group, one of its rows is left, of its texts that with the smallest hash; rows of
-    a doc_id in different groups are told apart by their texts. Rows without a doc_id have nothing to be told apart
-    by: they are all kept.
+    Where that doc_id repeats in the group, the text with the smallest hash stays; of rows that repeat id and text, the
+    one whose columns together hash lowest. Rows without a doc_id come after all others of their group, and one stays
+    only of a group that has nothing else. Empty and null texts are a group, as in groups(). No rows: none.
+
+    Texts stay where they are: who goes is found by id and hash, and that list is broadcast if it is small. Only rows
+    that repeat are shuffled whole.
     """
-    rows = _grouped(docs, key, text, blocks).where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
-    kept = rows.groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("text_hash").alias("__kept")).select("__id", "__kept")
-    named = docs.where(F.col(key).isNotNull()).withColumn("__hash", _text_hash(text))
-    found = named.join(kept, (F.col(key).cast("long") == F.col("__id")) & (F.col("__hash") == F.col("__kept")), "left_semi")
-    return found.dropDuplicates([key, "__hash"]).select(*docs.columns).union(docs.where(F.col(key).isNull()))
+    rows = checkpointed(_grouped(docs, key, text, blocks).select("doc_id", "text_hash", "kept"))
+    stays = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
+    pair = ["doc_id", "text_hash"]
+    gone = rows.where(~stays).select(*pair).distinct()
+    again = checkpointed(rows.where(stays).groupBy(*pair).count().where("count > 1").select(*pair))
+    name = _unused(docs, "__hash")
+    named = docs.withColumn(name, _text_hash(text))
+    same = lambda other: named[key].cast("long").eqNullSafe(other["doc_id"]) & (named[name] == other["text_hash"])
+    out = gone.unionByName(again)
+    out = small(checkpointed(out), max_rows)
+    left = named.join(out, same(out), "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return left
+    again = small(again, max_rows)
+    repeated = named.join(again, same(again), "left_semi")
+    whole = F.xxhash64(*[F.col(c) for c in docs.columns])
+    once = repeated.groupBy(key, name).agg(F.min_by(F.struct(*docs.columns), whole).alias("row"))
+    return left.unionByName(once.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name

@@ -10,9 +10,10 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from lakewright.llm import bpe, components, decontam, license, pii, simhash
-from lakewright.llm.common import word_places, words
+from lakewright.llm.common import spread_join, word_places, words
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 ODD = [None, "", " ", "\n\n", "a", "Straße Ünï 日本語 🎉", "x" * 70_000, "a b\tc\r\n" * 9_000, "word " * 20_000, "\0\x1f\x7f"]
@@ -166,7 +167,57 @@ def test_simhash_keeps_one_row_of_each_group_even_if_ids_repeat(docs_of):
         rng.shuffle(rows)
         kept = simhash.keep_one(docs_of([t for _, t in rows], [i for i, _ in rows])).collect()
         got = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in kept)
-        assert got == sorted([(3, a), (5, b), (5, c), (-1, c), (9, "")])
+        assert got == sorted([(3, a), (5, b), (5, c), (9, "")])
+
+
+@pytest.mark.parametrize("max_rows", [1 << 20, 0])
+def test_simhash_keeps_the_same_row_of_exact_repeats(spark, docs_of, max_rows):
+    """Whether the list of those that go is broadcast or not, and however the rows lie."""
+    rng = random.Random(5)
+    text = " ".join(f"t{rng.randrange(10**6)}" for _ in range(40))
+    rows = [(1, text, f"source {i % 7}", i) for i in range(30)] + [(2, text, "x", 0), (None, text, "x", 1), (None, "other words of no one", "y", 2), (None, "other words of no one", "y", 2)]
+    schema = "doc_id long, text string, `__hash` string, extra long"
+    kept = set()
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, schema).repartition(parts, "extra")
+        got = simhash.keep_one(docs, max_rows=max_rows)
+        assert got.columns == docs.columns
+        kept.add(tuple(sorted(map(repr, got.collect()))))
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+    assert sum("doc_id=1" in r for r in next(iter(kept))) == 1
+
+
+def test_no_text_is_shuffled_where_no_row_repeats(docs_of):
+    rng = random.Random(6)
+    one = " ".join(f"t{rng.randrange(10**6)}" for _ in range(900))
+    kept = simhash.keep_one(docs_of([one, one, one + " end", "another text", None]))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert not any("text" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4]
+
+
+def test_joins_deal_out_hot_keys(spark, docs_of):
+    rows = spark.range(1_000).selectExpr("id", "CASE WHEN id < 900 THEN 0 ELSE id END AS k")
+    values = rows.groupBy("k").count().withColumnRenamed("count", "n").withColumn("twice", F.col("k") * 2)
+    got = spread_join(rows, values, "k", F.xxhash64("id"), per=50)
+    assert sorted((r.id, r.twice) for r in got.collect()) == [(i, 0 if i < 900 else 2 * i) for i in range(1_000)]
+    texts = ["same text here"] * 60 + ["", None] * 30
+    assert {(r.doc_id, r.component_id) for r in simhash._grouped(docs_of(texts), "doc_id", "text", 5, per=7).collect()} == {(i, 0 if i < 60 else 60) for i in range(120)}
+
+
+def test_pivots_discard_nearly_every_pair_of_unlike_fingerprints():
+    """Of the pairs that share a bucket's bits but are no links: what the pivot tables leave to verify."""
+    rng = np.random.default_rng(12)
+    shared = np.uint64(simhash._bit_groups(simhash.BLOCKS)[0])
+    fps = rng.integers(0, 1 << 64, 600, np.uint64) & ~shared
+    table = np.bitwise_count(fps[:, None] ^ simhash.PIVOTS[None, :]).astype(int)
+    left = (np.abs(table[:, None, :] - table[None, :, :]) <= simhash.MAX_DISTANCE).all(2)
+    i, j = np.triu_indices(600, 1)
+    assert left[i, j].mean() < 0.001
+    near = fps ^ np.uint64(0b1011)
+    close = np.bitwise_count(near[:, None] ^ simhash.PIVOTS[None, :]).astype(int)
+    assert (np.abs(table - close) <= simhash.MAX_DISTANCE).all()  # and no link is ever discarded
 
 
 # --- decontamination
@@ -232,6 +283,28 @@ def test_decontamination_cuts_the_same_in_several_passes(spark, docs_of, max_win
     assert cut.columns == docs_of([]).columns
 
 
+def test_passes_hold_one_set_at_a_time(spark, docs_of, monkeypatch):
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "item_id long, text string")
+    alive, most, built = set(), [], decontam.WindowSet
+    broadcast = spark.sparkContext.broadcast
+
+    def watched(value):
+        out = broadcast(value)
+        if isinstance(value, built):
+            alive.add(id(out))
+            most.append(len(alive))
+            end = out.destroy
+            out.destroy = lambda *a: (alive.discard(id(out)), end(*a))
+        return out
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", watched)
+    docs = docs_of(["w1 w2", " ".join(f"w{i}" for i in range(20, 40)), None])
+    for frame in (decontam.report(docs, bench, max_windows=8), decontam.decontaminate(docs, bench, max_windows=8), decontam.decontaminate(docs, bench, remove="spans", max_windows=8)):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert frame.count() >= 2
+    assert len(most) > 9 and max(most) <= 1 + 2  # the last set of a scan stays with its frame
+
+
 def test_word_places():
     text = "Ab, çd  9!".encode()
     assert [text[a:b].lower() for a, b in word_places(text)] == [w for w in words(text)]

@@ -243,6 +243,17 @@ def test_pipeline_stages_take_effect(spark, docs_of, tmp_path):
     assert sorted(whole.collect()) == sorted(docs.collect())
 
 
+@pytest.mark.parametrize("rows", [[], [(None, "x y z")], [(1, "same text of many words here"), (1, "same text of many words here"), (1, None), (2, ""), (None, "same text of many words here"), (None, None)]])
+def test_pipeline_of_odd_tables(spark, docs_of, tmp_path, rows):
+    docs_of([t for _, t in rows], [i for i, _ in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    labels_of(spark, [(1, 1, 0), (2, 1, 0)]).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Near-dedup leaves one row of the copies, with the smallest id, and one of the rows without words.
+    want = {0: [], 1: [None], 6: [1, 1]}[len(rows)]
+    assert sorted((r.doc_id for r in out), key=str) == want
+
+
 def test_pipeline_query_is_its_stages_on_the_tables(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and all(r.n_tokens >= 0 for r in rows) and bpe.WHOLE > 0
