@@ -15,7 +15,7 @@ from ..operators import documents as document_ops
 from ..operators import index as index_ops
 from ..sources import cobol, documents, facts, jcl
 from ..sources.text import program_names
-from . import program
+from . import fixture_sql, program
 from .fixtures import frame, sql
 
 QUERIES: dict = {}
@@ -25,8 +25,8 @@ SQL: dict[str, str] = {}
 def query(oracle: str | None = None):
     def add(fn):
         QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            SQL[fn.__name__] = oracle
+        if (told := fixture_sql.SQL.get(fn.__name__) if oracle is None else oracle) is not None:
+            SQL[fn.__name__] = told
         return fn
 
     return add
