@@ -175,3 +175,85 @@ calls AS (SELECT file, paragraph, line_start, line_end, statement, 'CICS' || upp
  UNION ALL SELECT file, paragraph, line_start, line_end, statement, 'CALL', upper({_bare(f"regexp_extract(statement, '{_USING}', 1)")}),
  array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(statement, '{_USING}', 2), '\\s+'), lambda x: upper(rtrim(x, '.'))), lambda x: x NOT IN ('', 'BY', 'REFERENCE', 'CONTENT', 'VALUE')), ','), NULL, NULL FROM ended WHERE regexp_matches(statement, '{_USING}'))"""
 SQL["outgoing_calls"] = f"WITH RECURSIVE {_CALLS} SELECT paragraph, line_start, line_end, statement, call_type, target, parameters, commarea, length, program FROM calls JOIN prog USING (file) WHERE target <> ''"
+
+# --- conditions of jumps and typed edges: ladders of one-line IFs, as the fixture's paragraphs have -------
+
+_RAW = """l0 AS (SELECT file, line_no, rtrim(raw) AS raw, line_no > coalesce(min(CASE WHEN regexp_matches(upper(raw), '^\\s*PROCEDURE\\s+DIVISION\\.\\s*$') THEN line_no END) OVER (PARTITION BY file), 0) AS body FROM fx_cobol),
+l1 AS (SELECT l0.*, program, nullif(upper(regexp_extract(raw, '(?i)^\\s*([A-Z0-9-]+)\\s*\\.\\s*$', 1)), '') AS name FROM l0 JOIN prog USING (file) WHERE body AND NOT starts_with(trim(raw), '*')),
+l2 AS (SELECT *, coalesce(last_value(name IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), program) AS src FROM l1),
+pl AS (SELECT program, src, line_no, raw, upper(raw) AS u FROM l2 WHERE name IS NULL),
+ro AS (SELECT program, paragraph, row_number() OVER (PARTITION BY program ORDER BY first) - 1 AS ord FROM (SELECT program, paragraph, min(line) AS first FROM (SELECT program, program AS paragraph, 0 AS line FROM prog UNION ALL SELECT program, name, line_no FROM l1 WHERE name IS NOT NULL) GROUP BY ALL)),
+if0 AS (SELECT program, src, line_no, regexp_matches(u, '^\\s*IF\\b') AS is_if, trim(split_part(regexp_replace(raw, '(?i)^\\s*IF\\b', ''), ' THEN', 1)) AS told, nullif(regexp_extract(u, '\\bGO\\s+TO\\s+([A-Z0-9-]+)', 1), '') AS dst FROM pl),
+if1 AS (SELECT *, lag(is_if) OVER w AS after_if, lag(told) OVER w AS guard, regexp_split_to_array(told, '\\s+OR\\s+') AS terms FROM if0 WINDOW w AS (PARTITION BY program, src ORDER BY line_no)),
+if2 AS (SELECT *, CASE WHEN is_if THEN list_transform(terms, lambda x: CASE WHEN contains(x, ' = ') THEN x ELSE regexp_extract(terms[1], '^(.*\\S\\s+=)', 1) || ' ' || x END) END AS said FROM if1),
+if3 AS (SELECT *, lag(said) OVER (PARTITION BY program, src ORDER BY line_no) AS held, flatten(list(said) FILTER (is_if) OVER (PARTITION BY program, src ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS ladder FROM if2),
+jc0 AS (SELECT program, src, dst, line_no, CASE WHEN after_if THEN held WHEN len(ladder) > 0 THEN ['NOT (' || array_to_string(ladder, ' OR ') || ')'] END AS parts FROM if3 WHERE dst IS NOT NULL),
+jc1 AS (SELECT program, src, dst, flatten(list(parts ORDER BY line_no)) AS parts FROM jc0 WHERE parts IS NOT NULL GROUP BY ALL),
+jc AS (SELECT program, src, dst, CASE WHEN len(parts) = 1 THEN parts[1] ELSE array_to_string(list_transform(parts, lambda x: '(' || x || ')'), ' OR ') END AS condition FROM jc1)"""
+SQL["jump_conditions"] = f"WITH {_FLOW}, {_RAW} SELECT program, src, dst, condition FROM jc"
+
+_THRU = "\\bPERFORM\\b\\s+([A-Z0-9-]+)\\s+\\bTHRU\\b\\s+([A-Z0-9-]+)"
+_EDGES = f"""{_FLOW}, {_RAW},
+r0 AS (SELECT program, src, line_no, trim(raw) AS evidence, regexp_extract(u, '{_THRU}', 1) AS a, regexp_extract(u, '{_THRU}', 2) AS z, CASE WHEN contains(u, 'THRU') THEN '' ELSE regexp_extract(u, '\\bPERFORM\\b\\s+([A-Z0-9-]+)\\b', 1) END AS single, regexp_extract(u, '\\bGO\\s+TO\\b\\s+([A-Z0-9-]+)', 1) AS jump FROM pl),
+r1 AS (SELECT program, src, a AS dst, line_no, 0 AS rank, 'CALL_RANGE' AS type, evidence, a, z FROM r0 UNION ALL SELECT program, src, z, line_no, 0, 'CALL_RANGE', evidence, a, z FROM r0 UNION ALL SELECT program, src, single, line_no, 1, 'CALL', evidence, NULL, NULL FROM r0 UNION ALL SELECT program, src, jump, line_no, 2, 'JUMP', evidence, NULL, NULL FROM r0),
+r2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY program, src, dst ORDER BY line_no, rank) AS n FROM r1 WHERE dst <> '') WHERE n = 1),
+vb AS (SELECT program, src AS paragraph, string_agg(DISTINCT v, ',' ORDER BY v) AS ops FROM (SELECT program, src, unnest(regexp_extract_all(string_agg(u, ' ' ORDER BY line_no), '\\bEXEC\\s+CICS\\s+([A-Z]+)\\b', 1)) AS v FROM pl GROUP BY program, src) WHERE v IN ({_in(fixed.MONITOR_VERBS)}) GROUP BY ALL),
+pf AS (SELECT DISTINCT program, a, z FROM r0 WHERE a <> ''),
+x0 AS (SELECT e.*, coalesce(r.type, 'FALLTHROUGH') AS type, r.evidence, r.a AS range_start, r.z AS range_end FROM edges e LEFT JOIN r2 r ON r.program = e.program AND r.src = e.src AND r.dst = e.dst),
+x1 AS (SELECT x.*, (SELECT '[' || string_agg('{{"start":"' || f.a || '","end":"' || f.z || '"}}', ',' ORDER BY f.a, f.z) || ']' FROM pf f JOIN ro s ON s.program = f.program AND s.paragraph = f.a JOIN ro t ON t.program = f.program AND t.paragraph = f.z JOIN ro o ON o.program = x.program AND o.paragraph = x.src JOIN ro p ON p.program = x.program AND p.paragraph = x.dst
+ WHERE f.program = x.program AND x.type = 'FALLTHROUGH' AND p.ord = o.ord + 1 AND o.ord >= s.ord AND p.ord <= t.ord) AS range_flow_of FROM x0 x),
+rich AS (SELECT x.program, CAST(edge_no AS INTEGER) AS edge_no, x.src, x.dst, CASE WHEN range_flow_of IS NOT NULL THEN 'RANGE_FLOW' ELSE type END AS type,
+ CASE WHEN type = 'JUMP' THEN CASE WHEN regexp_matches(upper(c.condition), ' AND | OR | NOT ') AND NOT starts_with(c.condition, '(') THEN '(' || c.condition || ')' ELSE c.condition END END AS condition,
+ range_start, range_end, CASE WHEN type IN ('CALL', 'CALL_RANGE') THEN coalesce(v.ops, '') ELSE '' END AS cics_ops, evidence, range_flow_of FROM x1 x LEFT JOIN jc c ON c.program = x.program AND c.src = x.src AND c.dst = x.dst LEFT JOIN vb v ON v.program = x.program AND v.paragraph = x.dst)"""
+SQL["enriched_edges"] = f"WITH {_EDGES} SELECT * FROM rich"
+
+# --- sites of variables ---------------------------------------------------------------------------------
+
+_DATA_WORDS = _in(sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS))
+_IS_DATA = f"(starts_with({{0}}, 'DFH') OR starts_with({{0}}, 'EIB') OR {{0}} NOT IN ({_DATA_WORDS}))"
+
+
+def _ids(c: str) -> str:
+    bare = f"""regexp_replace(regexp_replace(upper({c}), '''[^'']*''', ' ', 'g'), '"[^"]*"', ' ', 'g')"""
+    return f"list_filter(regexp_extract_all({bare}, '\\b([A-Z][A-Z0-9-]*)\\b', 1), lambda t: length(t) > 1 AND {_IS_DATA.format('t')})"
+
+
+def _after(c: str, word: str) -> str:
+    return f"substr({c}, strpos({c}, '{word}') + {len(word)})"
+
+
+_DIVIDED = """y0 AS (SELECT file, line_no, substr(rpad(raw, 80, ' '), 7, 1) AS ind, rtrim(substr(rpad(raw, 80, ' '), 8, 65)) AS code FROM fx_cobol),
+y1 AS (SELECT *, sum(CASE WHEN ind = '-' THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY line_no) AS part FROM y0 WHERE ind NOT IN ('*', '/') AND code <> ''),
+y2 AS (SELECT file, min(line_no) AS line, trim(string_agg(trim(code), ' ' ORDER BY line_no)) AS statement FROM y1 GROUP BY file, part),
+y3 AS (SELECT *, upper(statement) AS u, nullif(regexp_extract(upper(statement), '^\\s*(IDENTIFICATION|ENVIRONMENT|DATA|PROCEDURE)\\s+DIVISION\\b', 1), '') AS h, nullif(regexp_extract(upper(statement), '^\\s*([A-Z0-9-]+)\\s+SECTION\\.\\s*$', 1), '') AS sec,
+ regexp_extract(upper(statement), '^\\s*([0-9]{2})\\s+([A-Z][A-Z0-9-]+)\\b', 1) AS lv, regexp_extract(upper(statement), '^\\s*([0-9]{2})\\s+([A-Z][A-Z0-9-]+)\\b', 2) AS field, nullif(regexp_extract(upper(statement), '^\\s*([A-Z][A-Z0-9-]{1,30})\\.\\s*$', 1), '') AS name FROM y2),
+y4 AS (SELECT *, last_value(h IGNORE NULLS) OVER w AS division, last_value(sec IGNORE NULLS) OVER w AS section, last_value(CASE WHEN lv = '01' THEN field END IGNORE NULLS) OVER w AS rec FROM y3 WINDOW w AS (PARTITION BY file ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+_SITES = f"""{_EDGES}, {_DIVIDED},
+lb AS (SELECT DISTINCT program, name AS paragraph FROM y4 JOIN prog USING (file) WHERE division = 'PROCEDURE' AND h IS NULL AND name IS NOT NULL AND name NOT IN ({_DATA_WORDS})),
+q0 AS (SELECT program, line, statement, trim(u) AS u, name, coalesce(last_value(CASE WHEN name NOT IN ({_DATA_WORDS}) THEN name END IGNORE NULLS) OVER (PARTITION BY y4.file ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'TOP') AS paragraph FROM y4 JOIN prog USING (file) WHERE division = 'PROCEDURE' AND h IS NULL),
+q1 AS (SELECT * EXCLUDE (name), split_part(u, ' ', 1) AS verb, substr(u, length(split_part(u, ' ', 1)) + 1) AS rest, contains(u, ' TO ') AS has_to FROM q0 WHERE name IS NULL),
+dc AS (SELECT program, field AS variable, arg_min(CASE WHEN starts_with(field, 'DFH') THEN 'CICS_CONST' WHEN starts_with(field, 'EIB') THEN 'CICS_EIB' WHEN section = 'LINKAGE' AND rec IN ('DFHCOMMAREA', 'COMMAREA', 'LK-COMMAREA') THEN 'COMMAREA' ELSE coalesce(section, 'UNKNOWN') END, line) AS origin FROM y4 JOIN prog USING (file) WHERE division = 'DATA' AND field <> '' GROUP BY ALL),
+nm AS (SELECT DISTINCT program, unnest({_ids('statement')}) AS variable FROM q1 UNION SELECT program, variable FROM dc),
+vars AS (SELECT n.program, n.variable, coalesce(nullif(d.origin, 'UNKNOWN'), CASE WHEN starts_with(n.variable, 'TWCOB-') THEN 'COMMAREA' WHEN starts_with(n.variable, 'DFH') THEN 'CICS_CONST' WHEN starts_with(n.variable, 'EIB') THEN 'CICS_EIB' ELSE 'UNKNOWN' END) AS origin
+ FROM nm n LEFT JOIN dc d ON d.program = n.program AND d.variable = n.variable WHERE {_IS_DATA.format('n.variable')} AND NOT EXISTS (SELECT 1 FROM lb WHERE lb.program = n.program AND lb.paragraph = n.variable)),
+q2 AS (SELECT *, CASE WHEN verb = 'MOVE' AND has_to THEN {_ids(_after('rest', ' TO '))} WHEN verb = 'COMPUTE' THEN {_ids('rest')}[1:1] WHEN verb IN ('ADD', 'SUBTRACT', 'MULTIPLY', 'DIVIDE') THEN CASE WHEN has_to THEN {_ids(_after('rest', ' TO '))} WHEN contains(u, ' GIVING ') THEN {_ids(_after('u', ' GIVING '))} ELSE [] END
+ WHEN verb = 'SET' THEN CASE WHEN has_to THEN {_ids("split_part(rest, ' TO ', 1)")} WHEN contains(u, ' UP BY ') THEN {_ids("split_part(rest, ' UP BY ', 1)")} ELSE [] END WHEN verb = 'INITIALIZE' THEN {_ids('rest')} WHEN verb = 'EXEC' AND contains(u, ' RECEIVE ') AND contains(u, ' INTO ') THEN {_ids(_after('u', ' INTO '))} ELSE [] END AS w,
+ CASE WHEN verb IN ('GO', 'GOTO', 'GO-TO', 'INITIALIZE') THEN [] WHEN verb = 'PERFORM' THEN CASE WHEN contains(u, ' VARYING ') THEN {_ids('u')} ELSE [] END WHEN verb = 'MOVE' THEN CASE WHEN has_to THEN {_ids("split_part(rest, ' TO ', 1)")} ELSE [] END
+ WHEN verb = 'COMPUTE' THEN CASE WHEN contains(u, '=') THEN {_ids(_after('u', '='))} ELSE {_ids('rest')}[2:] END WHEN verb IN ('ADD', 'SUBTRACT', 'MULTIPLY', 'DIVIDE') THEN {_ids('rest')} WHEN verb = 'SET' THEN CASE WHEN has_to THEN {_ids(_after('rest', ' TO '))} WHEN contains(u, ' UP BY ') THEN {_ids('rest')} ELSE [] END
+ WHEN verb IN ('CALL', 'LINK', 'XCTL') THEN CASE WHEN contains(u, ' USING ') THEN {_ids(_after('u', ' USING '))} ELSE [] END ELSE {_ids('u')} END AS r, CASE WHEN regexp_matches(u, '^(IF|EVALUATE|WHEN) ') THEN {_ids('u')} ELSE [] END AS c FROM q1 WHERE paragraph NOT IN ({_in(sorted(fixed.DATAFLOW_WORDS))})),
+q3 AS (SELECT program, unnest(w) AS variable, 'write' AS kind, paragraph, line, trim(statement) AS statement, [] AS targets FROM q2 UNION ALL SELECT program, unnest(list_filter(r, lambda x: NOT list_contains(w, x))), 'read', paragraph, line, trim(statement), [] FROM q2
+ UNION ALL SELECT program, unnest(c), 'control', paragraph, line, trim(statement), list_filter(regexp_extract_all(u, '\\b(PERFORM|GO-TO|GOTO|CALL|LINK|XCTL)\\s+([A-Z][A-Z0-9-]+)\\b', 2), lambda t: t NOT IN ({_DATA_WORDS})) FROM q2
+ UNION ALL SELECT program, unnest({_ids('condition')}), 'control', src, -1, condition, [dst] FROM rich WHERE condition <> ''),
+sites AS (SELECT q.program, q.variable, kind, paragraph, CAST(line AS INTEGER) AS line, statement, list_sort(list_distinct(flatten(list(targets)))) AS targets FROM q3 q JOIN vars v ON v.program = q.program AND v.variable = q.variable GROUP BY ALL)"""
+SQL["var_read_write"] = f"WITH {_SITES} SELECT program, variable, kind, paragraph, line, statement, array_to_string(targets, ',') AS targets FROM sites"
+SQL["used_variables"] = f"WITH {_SITES} SELECT program, variable, origin FROM vars WHERE (program, variable) IN (SELECT (program, variable) FROM sites)"
+SQL["first_site_lines"] = f"WITH {_SITES} SELECT program, variable, line FROM (SELECT *, row_number() OVER (PARTITION BY program, variable ORDER BY CASE kind WHEN 'write' THEN 1 WHEN 'read' THEN 2 ELSE 3 END, line) AS n FROM sites WHERE line > 0) WHERE n = 1"
+_RECORDS = f"""SELECT v.program, v.variable, v.origin, coalesce(arg_min(s.paragraph, s.line) FILTER (kind = 'write'), '') AS defined_in, coalesce(string_agg(DISTINCT s.paragraph, ',' ORDER BY s.paragraph) FILTER (kind = 'write'), '') AS modified_in, coalesce(string_agg(DISTINCT s.paragraph, ',' ORDER BY s.paragraph) FILTER (kind = 'read'), '') AS used_in,
+ coalesce(array_to_string(list_sort(list_distinct(list_filter(flatten(list(s.targets) FILTER (kind = 'control')), lambda t: t NOT IN ({_DATA_WORDS}, 'TOP')))), ','), '') AS fanout_nodes, coalesce(bool_or(kind = 'control'), FALSE) AS controls_flow FROM vars v LEFT JOIN sites s ON s.program = v.program AND s.variable = v.variable GROUP BY ALL"""
+SQL["variable_records"] = f"WITH {_SITES} {_RECORDS}"
+_MOVED = """(?i)\\bMOVE\\s+(''[^'']*''|"[^"]*"|[+-]?[0-9]+(?:\\.[0-9]+)?)\\s+TO\\s+([A-Z0-9-]+)\\b"""
+SQL["literal_assignments"] = f"""WITH {_SITES}, rec AS ({_RECORDS}) SELECT DISTINCT s.program, s.variable AS target_variable, {_bare(f"regexp_extract(statement, '{_MOVED}', 1)")} AS literal, regexp_extract(statement, '{_MOVED}', 1) AS literal_raw, paragraph, nullif(line, 0) AS line, statement, r.origin, r.controls_flow,
+ starts_with(upper(coalesce(r.origin, '')), 'COPY:PDCBVCM') OR regexp_matches(s.variable, '^M[0-9][A-Z0-9-]+[A-Z]$') AS screen_or_map_field, {' OR '.join(f"starts_with(s.variable, '{p}')" for p in fixed.COMMAREA_PREFIXES)} AS call_commarea_field
+ FROM sites s JOIN rec r ON r.program = s.program AND r.variable = s.variable WHERE kind = 'write' AND upper(regexp_extract(statement, '{_MOVED}', 2)) = s.variable"""
+SQL["screen_lineage"] = f"""WITH {_SITES}, own AS (SELECT program, variable, CASE WHEN length(variable) > 1 AND regexp_matches(variable, '[AFILO]$') THEN left(variable, length(variable) - 1) ELSE variable END AS family FROM vars WHERE starts_with(variable, 'CUST-'))
+SELECT o.program, family, string_agg(DISTINCT o.variable, ',' ORDER BY o.variable) AS members, count(*) FILTER (kind = 'write') AS n_writes, count(*) FILTER (kind = 'read') AS n_reads, count(*) FILTER (kind = 'control') AS n_controls, min(CASE WHEN line > 0 THEN line END) AS first_line FROM own o LEFT JOIN sites s ON s.program = o.program AND s.variable = o.variable GROUP BY ALL"""
