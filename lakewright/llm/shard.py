@@ -42,7 +42,7 @@ def quotas(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
-def propagate(fragments: DataFrame, places: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(fragments: DataFrame, places: list[int], rounds: int = ROUNDS, pieces: int = PIECES) -> DataFrame:
     """fragments(TEXT, cell, n, shard) with the shards that label propagation ends in.
 
     Only counts leave the executors: one load for each shard and round.
@@ -67,10 +67,10 @@ def propagate(fragments: DataFrame, places: list[int], rounds: int = ROUNDS) ->
             *TEXT, "cell", "n", "shard", F.col("wish.s").cast("int").alias("to"), (F.col("wish.v") - own).alias("gain")
         )
         # Movers in order of gain; classes of similar gain are numbered apart, then offset by the classes before.
-        turn = F.when(F.col("to").isNotNull(), F.floor(F.log2(F.col("gain") + 1)) * -PIECES + F.pmod(F.col("g"), F.lit(PIECES)))
+        turn = F.when(F.col("to").isNotNull(), F.floor(F.log2(F.col("gain") + 1)) * -pieces + F.pmod(F.col("g"), F.lit(pieces)))
         wish = checkpointed(wish.withColumn("class", turn))
         classes = wish.where("to IS NOT NULL").groupBy("to", "class").agg(F.sum("n").alias("sum"))
-        # At most shards * 64 gain classes * PIECES rows, whatever the input.
+        # At most shards * 64 gain classes * pieces rows.
         before = Window.partitionBy("to").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
         classes = classes.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0))).drop("sum")
         within = Window.partitionBy("to", "class").orderBy(*TEXT, "cell").rowsBetween(Window.unboundedPreceding, 0)
@@ -99,7 +99,7 @@ def assign(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS, key: str = "d
     fragments = rows.groupBy(*TEXT, "cell").agg(F.count(F.lit(1)).alias("n"))
     copies = fragments.groupBy(*TEXT).agg(F.sum("n").alias("copies")).where("copies > 1").select(*TEXT)
     linked = fragments.join(copies, TEXT).withColumn("shard", F.pmod(F.col("cell"), F.lit(shards)))
-    found = propagate(linked, places, rounds).select(*TEXT, "cell", F.col("shard").alias("found"))
+    found = propagate(linked, places, rounds, pieces).select(*TEXT, "cell", F.col("shard").alias("found"))
     placed = rows.join(found, [*TEXT, "cell"], "left").select(
         "doc_id",
         "size",
