@@ -4,7 +4,7 @@ from __future__ import annotations
 
 # --- fixed values: languages' words -----------------------------------------------------------------
 
-#: Words of the data-flow reader that are never variables.
+#: Words of the data-flow reader that are never variables: the language's, and options of command and query statements.
 DATAFLOW_WORDS = frozenset(
     """
     END-IF END-READ END-EVALUATE END-PERFORM END-EXEC IF ELSE EVALUATE WHEN PERFORM GO GOTO GO-TO MOVE COMPUTE ADD
@@ -17,11 +17,6 @@ DATAFLOW_WORDS = frozenset(
     MAPSET DATAONLY ERASE SYNCPOINT RESP RESP2 LENGTH SQLCA SQLCODE SQLSTATE SQLERRM REPLACING SUPPRESS TITLE SUBTITLE
     PAGE COLUMNS PIC PICTURE VALUE COMP COMP-3 COMP-5 BINARY DISPLAY SIGN SYNC REDEFINES OCCURS TIMES INDEXED INSPECT
     STRING UNSTRING ACCEPT OPEN CLOSE READ WRITE REWRITE DELETE START CONTINUE PREVIOUS ALLOCATE FREE MERGE SORT USE
-    """.split()
-)
-#: Options of command and query statements that are never variables either.
-STATEMENT_OPTIONS = frozenset(
-    """
     ABSTIME DATESEP DDMMYY MMDDYY YYMMDD DDMMYYYY YYYYMMDD TIME DATE SYSID TRANSID TASK CHANNEL CONTAINER NOSUSPEND WAIT
     DELETEQ WRITEQ READQ TS TD QUEUE ENQ DEQ STARTBR READNEXT READPREV ENDBR INSERT UPDATE GROUP ORDER HAVING JOIN LEFT
     RIGHT INNER OUTER UNION EXISTS LIKE BETWEEN COUNT SUM AVG MIN MAX SYSDATE CURRENT_DATE CURRENT_TIMESTAMP DUAL COMMIT

@@ -64,7 +64,7 @@ def unquoted(c: Column) -> Column:
 def is_data_word(c: Column) -> Column:
     """False for the language's words; the monitor's names are data."""
     monitor = F.startswith(c, F.lit(fixed.MONITOR_PREFIXES[0])) | F.startswith(c, F.lit(fixed.MONITOR_PREFIXES[1]))
-    return monitor | ~c.isin(*sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS))
+    return monitor | ~c.isin(*sorted(fixed.DATAFLOW_WORDS))
 
 
 def identifiers(c: Column) -> Column:
@@ -76,7 +76,7 @@ def identifiers(c: Column) -> Column:
 def flow_targets(c: Column) -> Column:
     """Distinct names that a statement performs, goes to, calls or links."""
     found = F.regexp_extract_all(F.upper(c), F.lit(r"\b(PERFORM|GO-TO|GOTO|CALL|LINK|XCTL)\s+([A-Z][A-Z0-9-]+)\b"), 2)
-    words = sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS)
+    words = sorted(fixed.DATAFLOW_WORDS)
     return F.array_distinct(F.filter(found, lambda t: ~t.isin(*words)))
 
 

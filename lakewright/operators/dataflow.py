@@ -103,7 +103,7 @@ def variable_records(vars_: DataFrame, sites_: DataFrame) -> DataFrame:
     kind = lambda k, v: F.when(F.col("kind") == k, v)
     site = F.struct("line", "paragraph", "statement")
     nested = lambda k: F.array_sort(F.collect_list(kind(k, site))).alias(f"{k}_sites")
-    words = sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS | {"TOP"})
+    words = sorted(fixed.DATAFLOW_WORDS | {"TOP"})
     fanout = F.filter(F.array_distinct(F.flatten(F.collect_list(kind("control", F.col("targets"))))), lambda t: ~t.isin(*words))
     grouped = sites_.groupBy("program", "variable").agg(
         F.min_by("paragraph", kind("write", F.struct("line", "paragraph"))).alias("first_write"),
@@ -219,7 +219,7 @@ def program_dataflow(lines: DataFrame, programs: DataFrame, copybook_lines: Data
     proc = cobol.with_paragraphs(cobol.procedure_statements(stmts), F.lit("TOP")).join(programs, "file")
     name = F.nullif(F.regexp_extract(F.upper("statement"), fixed.PARAGRAPH, 1), F.lit(""))
     labels = cobol.procedure_statements(stmts).join(programs, "file").select("program", name.alias("paragraph")).where("paragraph IS NOT NULL")
-    labels = labels.where(~F.col("paragraph").isin(*sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS))).distinct()
+    labels = labels.where(~F.col("paragraph").isin(*sorted(fixed.DATAFLOW_WORDS))).distinct()
     declared = cobol.declarations(stmts).join(programs, "file").select("program", "variable", "origin")
     if copybook_lines is not None:
         from ..functions.text import path_stem

@@ -7,6 +7,8 @@ summary row for each (key, bucket).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -198,33 +200,36 @@ def first_by_priority(wanted: DataFrame, candidates: DataFrame, key: str, value:
     return found.groupBy("id").agg(*names, F.min_by("__value", F.when(F.col("__value").isNotNull(), F.col("__rank"))).alias(value))
 
 
+#: Characters of the seed by which a passage of few words is looked for.
+SEED_CHARACTERS = 4
+
+
 def contains_join(texts: DataFrame, passages: DataFrame, text: str, passage: str, words: int = 3) -> DataFrame:
     """Pairs of a text and a passage that it contains as a substring.
 
-    No comparison of every pair: a passage is looked for by one run of ``words`` whole words inside it. The run must
-    not touch the passage's ends, where the text may go on within a word; passages too short for one are compared
-    with every text, and only while they are few (MAX_BROADCAST_ROWS over the two counts).
+    No comparison of every pair: a passage is looked for by a seed that a text which contains it must have too. That is
+    one run of ``words`` whole words inside the passage, not touching its ends, where the text may go on within a word;
+    or, of a passage too short for one, its first SEED_CHARACTERS characters (all, if it has fewer; an empty passage is
+    in every text). Texts are cut to characters only for the seed lengths that some passage needs.
     """
     split = lambda c: F.split(c, " ")
     inner = F.slice(split(F.col(passage)), 2, F.greatest(F.lit(0), F.size(split(F.col(passage))) - 2))
-    key = F.array_join(F.slice(inner, 1, words), " ")
-    named = passages.withColumn("__seed", F.when(F.size(inner) >= words, F.xxhash64(key)))
-    long = named.where("__seed IS NOT NULL")
-    runs = tokens = split(F.col(text))
-    for k in range(1, words):  # zipped with its own shifts: the text is split a few times, not once a word
-        runs = F.zip_with(runs, F.slice(tokens, k + 1, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b))
-    seeds = F.array_distinct(F.transform(F.filter(runs, lambda r: r.isNotNull()), lambda r: F.xxhash64(r)))
+    shifted = lambda parts, n, glue: functools.reduce(lambda runs, k: F.zip_with(runs, F.slice(parts, k + 1, 1 << 30), lambda a, b: F.concat(a, F.lit(glue), b)), range(1, n), parts)
+    hashed = lambda kind, runs: F.transform(F.filter(runs, lambda r: r.isNotNull()), lambda r: F.xxhash64(F.lit(kind), r))
+    kind = F.when(F.size(inner) >= words, -1).otherwise(F.least(F.lit(SEED_CHARACTERS), F.length(passage)))
+    seed = F.when(F.col("__kind") < 0, F.array_join(F.slice(inner, 1, words), " ")).otherwise(F.substring(F.col(passage), 1, SEED_CHARACTERS))
+    named = passages.where(F.col(passage).isNotNull()).withColumn("__kind", kind).withColumn("__seed", F.xxhash64("__kind", seed)).drop("__kind")
+    kinds = [r[0] for r in passages.where(F.col(passage).isNotNull()).select(kind).distinct().collect()]  # at most SEED_CHARACTERS + 2
+    found = []
+    for k in sorted(kinds):
+        # Zipped with its own shifts: the text is split once for each length, not once a word or character.
+        runs = shifted(split(F.col(text)), words, " ") if k < 0 else F.array(F.lit("")) if k == 0 else shifted(F.split(F.col(text), ""), k, "")
+        found.append(hashed(k, runs))
+    seeds = F.array_distinct(F.concat(*found)) if found else F.array().cast("array<bigint>")
     # Only seeds that some passage has are kept before anything meets: the passages' side is the small one.
     exploded = texts.withColumn("__seed", F.explode(seeds))
-    wanted = small(long.select("__seed").distinct())
-    pairs = exploded.join(wanted, "__seed", "left_semi").join(small(long), "__seed").where(F.contains(F.col(text), F.col(passage))).drop("__seed")
-    short = named.where("__seed IS NULL").drop("__seed")
-    n = short.limit(MAX_BROADCAST_ROWS + 1).count()
-    if not n:
-        return pairs
-    if n > MAX_BROADCAST_ROWS:
-        raise ValueError(f"over {MAX_BROADCAST_ROWS} passages of fewer than {words + 2} words")
-    return pairs.unionByName(texts.join(F.broadcast(short), F.contains(F.col(text), F.col(passage))).select(*pairs.columns))
+    wanted = small(named.select("__seed").distinct())
+    return exploded.join(wanted, "__seed", "left_semi").join(small(named), "__seed").where(F.contains(F.col(text), F.col(passage))).drop("__seed")
 
 
 def prefix_join(names: DataFrame, prefixes: DataFrame, name: str, prefix: str, separator: str = "-") -> DataFrame:

@@ -176,7 +176,7 @@ def fixed_format_statements(spark, sf_dir):
     return cobol.statements(frame(spark, "fx_cobol"))
 
 
-_WORDS = ", ".join(f"'{w}'" for w in sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS))
+_WORDS = ", ".join(f"'{w}'" for w in sorted(fixed.DATAFLOW_WORDS))
 _PROC = f"""{_FIXED}, d AS (SELECT *, nullif(regexp_extract(upper(statement), '^\\s*(IDENTIFICATION|ENVIRONMENT|DATA|PROCEDURE)\\s+DIVISION\\b', 1), '') AS h FROM s),
 p AS (SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS division FROM d),
 q AS (SELECT file, line_start, statement, nullif(regexp_extract(upper(statement), '^\\s*([A-Z][A-Z0-9-]{{1,30}})\\.\\s*$', 1), '') AS name FROM p WHERE division = 'PROCEDURE' AND h IS NULL),

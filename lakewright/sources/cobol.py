@@ -52,7 +52,7 @@ def procedure_statements(stmts: DataFrame, toggles: bool = True) -> DataFrame:
     return marked.where("division = 'PROCEDURE' AND NOT is_header").drop("division", "is_header")
 
 
-def with_paragraphs(stmts: DataFrame, seed: Column, words: frozenset = fixed.DATAFLOW_WORDS | fixed.STATEMENT_OPTIONS, drop_words: bool = True) -> DataFrame:
+def with_paragraphs(stmts: DataFrame, seed: Column, words: frozenset = fixed.DATAFLOW_WORDS, drop_words: bool = True) -> DataFrame:
     """stmts with their paragraph filled forward (``seed`` before the first); label statements are dropped.
 
     A label that is one of the language's words is no paragraph: dropped too, or (drop_words=False) kept as a statement.

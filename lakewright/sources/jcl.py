@@ -13,7 +13,7 @@ from ..functions.text import collapse, continuation_note, inline_note, operands,
 
 def job_comments(lines: DataFrame) -> DataFrame:
     """file, line_no, text, decorative, warning of the //* lines."""
-    text = strip(F.regexp_replace(strip(F.substring("raw", 4, 1 << 20)), "^/+", ""))
+    text = strip(F.regexp_replace(strip(F.expr("substring(raw, 4)")), "^/+", ""))
     text = collapse(F.regexp_replace(text, r"\|+$", ""))
     rows = lines.where(F.startswith("raw", F.lit("//*"))).select("file", "line_no", text.alias("text"))
     return rows.withColumn("decorative", is_decorative(F.col("text"))).withColumn("warning", is_warning(F.col("text")))
@@ -25,11 +25,11 @@ def job_statements(lines: DataFrame) -> DataFrame:
     Notes are cut off by expressions before the fold. Whether a line continues a statement depends on what that
     statement is by then, so a file's lines are folded in order (Arrow, one file at a time).
     """
-    body = F.substring("raw", 3, 1 << 20)
+    body = F.expr("substring(raw, 3)")
     free = F.substring(body, 1, 1).rlike(r"^\s$")
     rows = lines.where(F.startswith("raw", F.lit("//")) & ~F.startswith("raw", F.lit("//*"))).withColumn("raw", F.rtrim("raw"))
     rows = rows.withColumn("label", F.upper(strip(F.substring(body, 1, 8)))).withColumn("free", free)
-    text, note1 = inline_note(strip(F.when(free, body).otherwise(F.substring(body, 9, 1 << 20))))
+    text, note1 = inline_note(strip(F.when(free, body).otherwise(F.expr("substring(raw, 11)"))))
     text, note2 = continuation_note(text)
     rows = rows.select("file", "line_no", "label", "free", text.alias("text"), F.filter(F.array(note1, note2), lambda x: x != "").alias("notes"))
 

@@ -51,8 +51,8 @@ def test_nearest_is_brute_force(spark, side):
 def test_contains_join_is_brute_force(spark):
     random.seed(4)
     word = lambda: random.choice(["aa", "ab", "b", "ccc"])
-    texts = [" ".join(word() for _ in range(random.randrange(1, 60))) for _ in range(60)] + ["", "xaa ab by"]
-    passages = [" ".join(word() for _ in range(random.randrange(1, 8))) for _ in range(30)] + ["a ab b", "nowhere at all in any text"]
+    texts = [" ".join(word() for _ in range(random.randrange(1, 60))) for _ in range(60)] + ["", "xaa ab by", "日本 語x"]
+    passages = [" ".join(word() for _ in range(random.randrange(1, 8))) for _ in range(30)] + ["a ab b", "nowhere at all in any text", "", "b", "a", "c c", "ab b", "本 語", "cc aa a"]
     a = spark.createDataFrame(list(enumerate(texts)), "i int, body string")
     b = spark.createDataFrame(list(enumerate(passages)), "j int, passage string")
     got = {(r.i, r.j) for r in relational.contains_join(a, b, "body", "passage").collect()}
