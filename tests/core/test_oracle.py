@@ -6,12 +6,12 @@ import os
 import duckdb
 import pytest
 
-from lakewright.plans import fixture_queries, table_queries
+from lakewright.plans import fixture_queries, io_queries, table_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = table_queries.QUERIES | fixture_queries.QUERIES
-SQL = table_queries.SQL | fixture_queries.SQL
+QUERIES = table_queries.QUERIES | fixture_queries.QUERIES | io_queries.QUERIES
+SQL = table_queries.SQL | fixture_queries.SQL | io_queries.SQL
 
 
 @pytest.fixture(scope="module")
