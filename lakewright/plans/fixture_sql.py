@@ -283,3 +283,12 @@ texts AS (SELECT file, upper(string_agg(raw, chr(10) ORDER BY line_no)) AS body
 SELECT program, p.file, coalesce((SELECT string_agg(b.file, ',' ORDER BY b.file) FROM refs r JOIN books b ON b.stem = r.book WHERE r.file = p.file), '') AS copybooks,
  coalesce((SELECT string_agg(r.book, ',' ORDER BY r.book) FROM refs r WHERE r.file = p.file AND r.book NOT IN ('', {_in(fixed.SYSTEM_COPYBOOKS)}) AND r.book NOT IN (SELECT stem FROM books)), '') AS missing_copybooks,
  coalesce((SELECT string_agg(t.file, ',' ORDER BY t.file) FROM texts t WHERE contains(t.body, p.program)), '') AS jobs, 'facts/result.txt' AS mapa, (SELECT file FROM flows WHERE stem = p.program) AS controlflow FROM prog p"""
+
+_NOTE = f"{_OUT}(?:<==|[*][*])"
+_VALUE = "trim(regexp_extract(x, '^[^=]*=(.*)$', 1))"
+SQL["operand_functions"] = f"""WITH {sql('fx_texts')}, n AS (SELECT id, text AS t, regexp_matches(text, '{_NOTE}') AS noted, regexp_matches(text, '{_OUT}  ') AS more_ FROM fx_texts WHERE text IS NOT NULL),
+c AS (SELECT id, rtrim(CASE WHEN noted THEN regexp_extract(t, '{_NOTE}(.*)$', 1) ELSE t END) AS body, CASE WHEN noted THEN {_collapse(f"regexp_extract(t, '{_NOTE}(.*)$', 2)")} ELSE '' END AS note,
+ rtrim(CASE WHEN more_ THEN regexp_extract(t, '{_OUT}  ', 1) ELSE t END) AS cut, CASE WHEN more_ THEN {_collapse(f"regexp_extract(t, '{_OUT}(  .*)$', 2)")} ELSE '' END AS more FROM n),
+i AS (SELECT *, list_filter(list_transform(regexp_extract_all(cut, '{_ITEM}', 1), lambda x: trim(x)), lambda x: x <> '') AS items FROM c),
+k AS (SELECT *, list_transform(list_filter(items, lambda x: contains(x, '=')), lambda x: {{'k': upper(trim(split_part(x, '=', 1))), 'v': CASE WHEN regexp_matches({_VALUE}, '^''.*''$') THEN {_VALUE} ELSE trim(regexp_replace({_VALUE}, '\\s{{2,}}.*$', '')) END}}) AS kv FROM i)
+SELECT id, body, note, cut, more, array_to_string(list_filter(items, lambda x: NOT contains(x, '=')), '|') AS positional, '{{' || array_to_string(list_transform(list_filter(kv, lambda p, j: len(list_filter(kv[j + 1:], lambda q: q.k = p.k)) = 0), lambda p: '"' || p.k || '":"' || p.v || '"'), ',') || '}}' AS keyword FROM k"""
