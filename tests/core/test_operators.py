@@ -221,3 +221,10 @@ def test_program_relations_cut_their_plans(spark):
     # 335, 384, 994 and 1,234 where what was kept went with the cache.
     for name, most in {"var_read_write": 10, "variable_records": 20, "comment_documents": 30, "global_map_documents": 150}.items():
         assert _holders(fixture_queries.QUERIES[name](spark, SF)) <= most, name
+
+
+def test_structure_documents_stay_cut(spark):
+    jobs_, program_ = fixture_queries._jobs(spark), fixture_queries._program(spark)
+    spark.catalog.clearCache()
+    assert max(map(_holders, (jobs_["step_datasets"], program_["edges"], program_["sites"]))) <= 5
+    assert _holders(fixture_queries.QUERIES["structure_documents"](spark, SF)) <= 150  # 2,961 where what was kept went with the cache
