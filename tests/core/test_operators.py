@@ -228,3 +228,26 @@ def test_structure_documents_stay_cut(spark):
     spark.catalog.clearCache()
     assert max(map(_holders, (jobs_["step_datasets"], program_["edges"], program_["sites"]))) <= 5
     assert _holders(fixture_queries.QUERIES["structure_documents"](spark, SF)) <= 150  # 2,961 where what was kept went with the cache
+
+
+def test_graph_diff_deals_out_what_it_compares(spark, monkeypatch):
+    """One pass over the lines, in pieces by their number; the session's shuffle partitions (4 here) don't decide a task's share."""
+    plan = lambda: table_queries.QUERIES["graph_diff"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan().count("FileScan parquet") == 1  # 6 scans and 5 large aggregates before
+    monkeypatch.setattr(graph, "PIECE_ITEMS", 1_000)
+    assert "REPARTITION_BY_NUM" in plan() and "hashpartitioning(key" in plan() and ", 12)" in plan()  # 4,000 lines of A and R, three items each
+
+
+def test_graph_items_are_the_comparison_of_their_graphs(spark, monkeypatch):
+    random.seed(3)
+    monkeypatch.setattr(graph, "PIECE_ITEMS", 10)
+    name = lambda n: random.choice([None, *range(n)])
+    rows = [(random.choice(["OF", "F"]), random.choice([None, 1, 2]), name(6), name(8), random.choice("ARN")) for _ in range(300)]
+    line = spark.createDataFrame(rows, "l_linestatus string, l_linenumber int, l_suppkey long, l_partkey long, l_returnflag string")
+    monkeypatch.setattr(table_queries, "table", lambda *_: line)
+    say = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string"))
+    edges = lambda flag: line.where(F.col("l_returnflag") == flag).select(F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("key"), say("s", "l_suppkey").alias("src"), say("p", "l_partkey").alias("dst"))
+    nodes = lambda e: e.select("key", F.col("src").alias("node")).union(e.select("key", "dst"))
+    want = graph.compare(nodes(edges("A")), edges("A"), nodes(edges("R")), edges("R"))
+    got = table_queries._graphs(spark, SF)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
