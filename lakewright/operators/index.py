@@ -5,7 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,14 +130,39 @@ def soft_spans(text: str, size: int, overlap: int) -> list[str]:
     return out
 
 
+#: Bytes of text that are cut and sent back together; a longer text goes by itself.
+PART_BYTES = 2 << 20
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """batch(key, text) in runs of rows of at most PART_BYTES of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PART_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def soft_chunks(docs: DataFrame, key: str, text: str, size: int = 6000, overlap: int = 600) -> DataFrame:
     """key, chunk_index, chunk_count, chunk. Where a chunk starts depends on where the one before ended: Arrow, one text at a time.
 
-    Null texts have none. Other rows, repeats included, keep their chunks.
+    Null texts have none. Other rows, repeats included, keep their chunks. Python holds a batch as it came (Spark ends one at
+    spark.sql.execution.arrow.maxBytesPerBatch) and the chunks of one part of it, not those of the batch.
     """
-    cut = F.pandas_udf(lambda s: s.map(lambda t: [] if t is None else soft_spans(t, size, overlap)), "array<string>")
-    rows = docs.select(key, cut(F.col(text)).alias("chunks"))
-    return rows.select(key, F.size("chunks").alias("chunk_count"), F.posexplode("chunks").alias("chunk_index", "chunk")).select(key, "chunk_index", "chunk_count", "chunk")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                pieces = [[] if t is None else soft_spans(t, size, overlap) for t in part.column(1).to_pylist()]
+                rows = [(at, i, len(p), chunk) for at, p in enumerate(pieces) for i, chunk in enumerate(p)]
+                at, index, count, chunk = zip(*rows, strict=True) if rows else ((), (), (), ())
+                own = part.column(0).take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([own, pa.array(index, pa.int32()), pa.array(count, pa.int32()), pa.array(chunk, pa.string())], [key, "chunk_index", "chunk_count", "chunk"])
+
+    rows = docs.select(key, F.col(text).alias("__text"))
+    fields = [T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_count", T.IntegerType()), T.StructField("chunk", T.StringType())]
+    return rows.mapInArrow(cut, T.StructType([rows.schema[key], *fields]))
 
 
 ANCHOR = r"(?i)\bDIVISION\.\s*$|\bSECTION\.\s*$|^\s{0,8}[A-Z0-9][A-Z0-9-]*\.\s*$"

@@ -5,10 +5,12 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewright.functions import classify, ids, text
 from lakewright.functions.conditions import branch_conditions, parse, show, simplified, simplify
@@ -163,6 +165,29 @@ def test_fixed_chunks_are_a_loop(spark, size, overlap):
     assert {i: [c for _, c in sorted(v.items())] for i, v in got.items()} == {i: chunk_slowly(t, size, overlap) for i, t in enumerate(texts) if t}
 
 
+def test_soft_chunks_are_cut_in_parts(spark):
+    """What is sent back together is bounded by bytes, not by the 10,000 rows of a batch."""
+    sizes = []
+
+    class Rows:
+        schema = T.StructType([T.StructField("i", T.IntegerType())])
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, cut, schema):
+            texts = [None, "", *["Some words. " * 5_000] * 200, None, "x" * 9_000_000, "end"]
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int32()), pa.array(texts)], ["i", "t"])
+            out = list(cut(iter([batch])))
+            sizes.extend(b.nbytes for b in out)
+            return pa.Table.from_batches(out).to_pylist()
+
+    rows = index.soft_chunks(Rows(), "i", "t", 1200, 120)
+    assert len(sizes) > 5 and sorted(sizes)[-2] < 3 << 20
+    assert [r["chunk"] for r in rows if r["i"] == 5] == index.soft_spans("Some words. " * 5_000, 1200, 120)
+    assert [r["i"] for r in rows if r["chunk"] in ("", "end")] == [1, 204] and {r["i"] for r in rows} == set(range(205)) - {0, 202}
+
+
 def test_soft_chunks_end_at_sentences(spark):
     s = "One sentence here. " * 30
     parts = index.soft_spans(s, 100, 20)
