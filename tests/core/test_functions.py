@@ -12,9 +12,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.functions import classify, ids, text
+from lakewright.functions import classify, fixed, ids, text
 from lakewright.functions.conditions import branch_conditions, parse, show, simplified, simplify
 from lakewright.operators import index
+from lakewright.sources import text as text_source
 
 
 def column(spark, values, kind="string"):
@@ -229,3 +230,23 @@ def test_preview(spark):
     df = column(spark, [[], ["a", "", None], list("abcdef")], "array<string>")
     assert values(df, text.preview(F.col("c"))) == ["none", "a", "a, b, c, d (+2 more)"]
     assert re.fullmatch("12.3%", values(column(spark, ["x"]), text.percent(F.lit(0.1234)))[0])
+
+
+def test_comment_class_shortcuts_decide_as_the_whole_rules(spark):
+    random.seed(8)
+    words = "to FROM move value COMP-3. Pic x usage end-if. the A B C level 01 fd * ** / -- until. suppress, Straße ſet varyıng thru by. ABC. IS-1. end".split() + ["\t", "\u2003", "\u3000", "\x1c", "\xa0"]
+    clauses = re.findall("[A-Z]+(?:-[A-Z]+)?", fixed.CLAUSE.replace("(-[1-9])?", ""))
+    lines = ["", None, *words, *[f"a {c.lower()} to." for c in clauses], *[random.choice(["", " "]).join(x) if random.random() < 0.1 else random.choice([" ", "  "]).join(x) for x in ([random.choice(words) for _ in range(random.randint(1, 6))] for _ in range(3_000))]]
+    df = column(spark, lines).withColumn("raw", F.btrim(F.regexp_replace(F.coalesce("c", F.lit("")), r"(?U)\s+", " "), F.lit(fixed.WHITE)))
+    df = df.withColumn("bare", F.btrim(F.regexp_replace(F.regexp_replace("raw", r"^[*/\s]+", ""), r"[\s*]+$", ""), F.lit(fixed.WHITE)))
+    df = classify.with_comment_class(df, "c").withColumn("code", classify.is_code(F.col("bare"))).withColumn("want", classify.code_score(F.col("bare")) >= 4)
+    structural = F.col("bare").rlike("(?i)" + fixed.DIVISION) | F.col("bare").rlike("(?i)" + fixed.SECTION)
+    df = df.withColumn("whole", classify._comment_class(F.col("bare"), F.col("raw"), classify._words(F.col("bare")), structural))
+    rows = df.select("c", "raw", "bare", text.collapse(F.col("c")).alias("collapsed"), classify.bare_comment(F.col("c")).alias("b"), "code", "want", "whole", "classification").collect()
+    assert not [r for r in rows if (r.collapsed, r.b, r.code, r.classification) != (r.raw, r.bare, r.want, r.whole)]
+    assert {r.classification for r in rows} >= {"commented_out_code", "name_or_reference", "descriptive_header", "explanatory_comment"} and {r.want for r in rows} == {True, False}
+
+
+def test_lines_split_a_text_once(spark):
+    plan = text_source.lines(column(spark, ["a\nb\n"]), "i", "c")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1  # 3 before
